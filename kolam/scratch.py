@@ -62,3 +62,14 @@ class Scratch:
 
         gc.collect()
         self.spark._jvm.System.gc()
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of driver rows as a local relation, which needs no Python worker when it is read."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [[] for _ in arrow]
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(list(c), t.type) for c, t in zip(columns, arrow)], schema=arrow), schema)
