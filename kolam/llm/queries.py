@@ -66,6 +66,32 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs_within(groups.join(shared, ["field_name", "group"]), ["field_name", "group"], "sentence_id").select("field_name", "id_a", "id_b")
 
 
+# 3
+def _sampled_from(spark: SparkSession, d: str) -> DataFrame:
+    cur = current_rows(table(spark, d, "final_sentences"), ["domain", "category", "sentence"]).where(has_text("sentence"))
+    return cur.select("sentence_id", present_name("domain").alias("domain"), present_name("category").alias("category")).where(F.col("domain").isNotNull() & F.col("category").isNotNull())
+
+
+def _sample_and_report(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    from kolam.llm.sampling import proportional_sample, target_report
+
+    rows = Scratch(spark, "p3").save(_sampled_from(spark, d), "records")
+    report = target_report(rows, table(spark, d, "sample_targets"), rows.count() // 8)
+    return proportional_sample(rows, report, "sentence_id"), report
+
+
+def p3_sample(spark: SparkSession, d: str) -> DataFrame:
+    return _sample_and_report(spark, d)[0]
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """The targets the drawn sample could not meet: those of whose records it had fewer to draw from than needed."""
+    sample, report = _sample_and_report(spark, d)
+    drawn = sample.groupBy(F.col("domain").alias("_d"), F.col("category").alias("_c")).agg(F.count(F.lit(1)).alias("drawn"))
+    full = report.join(drawn, ["_d", "_c"], "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    return full.where(~F.col("met") & (F.col("drawn") < F.col("needed"))).select("domain", "category").distinct()
+
+
 # 4
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     cur = current_rows(table(spark, d, "final_translations"), ["scores", "semantic_similarity", "overall_score"])
@@ -143,6 +169,84 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, on).select("a.field_name", F.col("a.sentence_id").alias("id_a"), F.col("b.sentence_id").alias("id_b")).distinct()
 
 
+# 7
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.lookalikes import same_look_column
+    from kolam.llm.wordsets import word_set
+
+    cur = current_rows(table(spark, d, "final_translations"), ["row_id", "batch_no", "status", "telugu_sentence"]).where(has_text("telugu_sentence") & F.col("row_id").isNotNull())
+    formed = cur.select("sentence_id", "row_id", "batch_no", (norm_name("status") == "complete").alias("complete"), same_look_column("telugu_sentence").alias("t"))
+    return formed.select("sentence_id", "row_id", "batch_no", "complete", word_set("t").alias("words"))
+
+
+def p7_repeats(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.history import history_table, repeats_of_history
+
+    box = Scratch(spark, "p7")
+    rows = box.save(_units(spark, d), "units")
+    return repeats_of_history(rows, history_table(rows, "row_id", "batch_no", F.col("complete")), "row_id", "batch_no", box=box)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_repeats(spark, d).select("sentence_id").distinct()
+
+
+# 8, 9
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.tokens import token_count
+
+    return table(spark, d, "documents").select("doc_id", "source", token_count("text").alias("tokens"))
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.packing import pack
+
+    return pack(_sized(spark, d).select("doc_id", "tokens"), "doc_id", "tokens")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_containers(spark, d).groupBy("doc_id").agg(F.max("piece").alias("last")).where(F.col("last") > 0).select("doc_id")
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.mixing import mix_sources
+
+    return mix_sources(_sized(spark, d), table(spark, d, "mix_targets"), "doc_id", "tokens")[1]
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.mixing import mix_sources
+
+    return mix_sources(_sized(spark, d), table(spark, d, "mix_targets"), "doc_id", "tokens")[0]
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_report(spark, d).where(~F.col("reachable")).select("source").distinct()
+
+
+# 10
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.languages import fit_languages, language_segments
+
+    docs = table(spark, d, "documents")
+    return language_segments(docs.where(has_text("text")), fit_languages(docs))
+
+
+def p10_documents(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.languages import document_language
+
+    return document_language(p10_segments(spark, d))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from kolam.llm.languages import fit_languages, label_language, language_segments
+
+    docs = table(spark, d, "documents")
+    given = docs.where(has_text("text")).select(F.struct("doc_id", label_language("lang").alias("named")).alias("id"), "text")
+    found = language_segments(given, fit_languages(docs), key="id")
+    return found.where((F.col("lang") != "und") & ~F.col("lang").eqNullSafe(F.col("id.named"))).select(F.col("id.doc_id").alias("doc_id"), "lang").distinct()
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 

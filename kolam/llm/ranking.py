@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kolam.llm.cutoffs import keep_fraction_cutoffs
-from kolam.scratch import Scratch
+from kolam.scratch import Scratch, local_table
 
 
 def rank_walk(items: DataFrame, scores: list[str], key: str, damping: float = 0.85, levels: int = 2048, tolerance: float = 1e-6, max_rounds: int = 100) -> DataFrame:
@@ -36,7 +36,7 @@ def rank_walk(items: DataFrame, scores: list[str], key: str, damping: float = 0.
     n = full.count()
     out_schema = f"k {dict(full.dtypes)['k']}, stationarity double"
     if not n:
-        return spark.createDataFrame([], out_schema).withColumnRenamed("k", key)
+        return local_table(spark, [], out_schema).withColumnRenamed("k", key)
     cuts = full.agg(*[F.percentile_approx(s, [i / levels for i in range(levels + 1)], 10 * levels).alias(s) for s in names]).first()
     edges = [np.unique(np.asarray(cuts[s], dtype=float)) for s in names]  # a level holds the values from its edge up to the next
     b_edges = spark.sparkContext.broadcast(edges)
@@ -108,7 +108,7 @@ def first_places(ranked: DataFrame, places: int, key: str) -> DataFrame:
     if places >= n:
         return ranked
     spark = ranked.sparkSession
-    one = spark.createDataFrame([("all", (places - 0.5) / n)], "source string, keep_fraction double")
+    one = local_table(spark, [("all", (places - 0.5) / n)], "source string, keep_fraction double")
     cutoff = keep_fraction_cutoffs(ranked.select(F.lit("all").alias("source"), F.col("stationarity").alias("value")), one, source="source").first()["cutoff"]
     more = ranked.where(F.col("stationarity") > cutoff)
     ties = ranked.where(F.col("stationarity") == cutoff).orderBy(key).limit(places - more.count())
