@@ -146,7 +146,7 @@ class Languages:
     def __init__(self, texts: dict[tuple[str, str], str]):
         self.models = {k: Automaton(t) for k, t in sorted(texts.items())}
 
-    def judge(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def judge(self, found: list[str], weighed: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(language, confidence from 0 to 1) of each sentence; und and 0 where no language's letters are in it."""
         lang, sure = np.full(len(found), "und", object), np.zeros(len(found))
         scripts = np.array([main_script(s) for s in found], object)
@@ -162,7 +162,7 @@ class Languages:
             low = [found[i].lower() if len(found[i].lower()) == n else found[i] for i, n in zip(idx, lengths)]
             whole = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.int32)
             codes[np.arange(codes.shape[1]) < lengths[:, None]] = whole
-            costs = np.array([m.phrases(codes, lengths) * m.log_size / lengths for _, m in rivals])
+            costs = np.array([m.phrases(codes, lengths) * (m.log_size if weighed else 1.0) / lengths for _, m in rivals])
             best = costs.argmin(axis=0)
             least = costs.min(axis=0)
             if len(rivals) > 1:
@@ -174,20 +174,18 @@ class Languages:
         return lang, sure
 
 
-def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_chars: int = 40_000, sentences_per_label: int = 4_000, least_kept: float = 0.4) -> Languages:
+def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 150_000, least_kept: float = 0.15) -> Languages:
     """Automata of the labelled text of documents, from a bounded sample.
 
-    sentences_per_label: sentences sampled for each label by the hash of their text, the only rows that come to the driver;
-    sample_chars: characters an automaton takes of them. least_kept: the part of a language's sentences in a script that must come
-    out as labelled, else it has no automaton for that script. Without labelled text there are no automata, and all text is und.
+    sample_documents and sample_sentences bound what is sampled, by hash, and comes to the driver; trial_chars bounds an automaton of
+    the trials and sample_chars one of the result. least_kept: the part of a language's sentences in a script that must come out as
+    labelled, else it has no automaton for that script. In the trials the automata are as large as the labels are frequent and
+    phrases aren't weighed, so that a few mislabelled sentences don't win against the many of their true language. Without labelled
+    text there are no automata, and all text is und.
     """
     labelled = documents.select(F.col(text).alias("t"), label_language(label).alias("l")).where(F.col("l").isNotNull() & F.col("t").isNotNull())
-    per = {r["l"]: r["n"] for r in labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most one row per language
-    if not per:
-        return Languages({})
-    part = {k: min(1.0, sentences_per_label / n) for k, n in per.items()}  # documents hold a sentence at least, mostly
-    share = F.create_map(*[F.lit(x) for kv in part.items() for x in kv])[F.col("l")]
-    some = labelled.where((F.pmod(F.xxhash64("t"), F.lit(1 << 30)) / float(1 << 30)) < share)
+    share = sample_documents / max(1, labelled.count())
+    some = labelled.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < share * (1 << 30))
 
     def split(batches):
         for p in batches:
@@ -196,20 +194,19 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
                 yield pd.DataFrame(rows, columns=["l", "s"])
 
     found = some.mapInPandas(split, "l string, s string").where(F.length("s") >= 12).distinct()
-    found = found.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("s"), "s"))).where(F.col("r") <= sentences_per_label)
-    rows = found.select("l", "s", "r").toPandas().sort_values(["l", "r"])
+    rows = found.orderBy(F.xxhash64("s"), "s", "l").limit(sample_sentences).toPandas()
     rows["script"] = rows["s"].map(main_script)
     rows = rows[rows["script"] != ""].reset_index(drop=True)
     kept = np.ones(len(rows), bool)
     half = (np.arange(len(rows)) % 2).astype(bool)
-    for _ in range(2):
+    for _ in range(3):
         came = np.empty(len(rows), object)
         for side in (False, True):
             other = rows[kept & (half != side)]
-            came[half == side] = Languages(_sample(other, sample_chars // 2)).judge(rows["s"][half == side].tolist())[0]
+            came[half == side] = Languages(_sample(other, trial_chars)).judge(rows["s"][half == side].tolist(), weighed=False)[0]
         right = came == rows["l"].to_numpy()
         kept = right.copy()
-        for key, idx in rows.groupby(["l", "script"]).groups.items():
+        for _, idx in rows.groupby(["l", "script"]).groups.items():
             if right[idx].mean() < least_kept:
                 kept[idx] = False
     return Languages(_sample(rows[kept], sample_chars))
