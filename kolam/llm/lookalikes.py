@@ -65,6 +65,10 @@ def _simple(ch: str) -> str:
     return ch
 
 
+_EASY = re.compile(f"[{_PLAIN}]*")
+_LATIN, _TELUGU = re.compile("[A-Za-z\u00C0-\u024F\u1E00-\u1EFF]"), re.compile("[\u0C00-\u0C7F]")
+
+
 @lru_cache(1 << 16)
 def _token_form(token: str, main: str) -> str:
     own = {s for s in map(_script, token) if s}
@@ -83,8 +87,8 @@ def _token_form(token: str, main: str) -> str:
 
 def same_look(text: str | None) -> str | None:
     """The one form of a text; null for null. Two texts look the same if their forms are equal. Applying it twice changes nothing."""
-    if text is None:
-        return None
+    if text is None or _EASY.fullmatch(text) and (text.isascii() or not (_LATIN.search(text) and _TELUGU.search(text))):
+        return text
     text = "".join(map(_simple, _INVISIBLE.sub("", text)))
     text = unicodedata.normalize("NFD", text)
     seen: dict[str, int] = {}

@@ -14,7 +14,7 @@ largest meet the rest. That finds every group all its pairs would.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kolam.llm.components import connected_components
@@ -24,6 +24,12 @@ from kolam.scratch import Scratch
 _M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Words fall into so many classes by hash; of each class's count the parity is kept, 64 of them in bits, the others in mark with the size.
+CLASSES = 104
+MOST_SIZE = (1 << 23) - 1
+LOW = (1 << (CLASSES - 64)) - 1
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser."""
     x = (x + _G).astype(np.uint64)
@@ -63,7 +69,7 @@ def dart_signatures(tokens: np.ndarray, starts: np.ndarray, weights: np.ndarray,
             cells = np.ceil(top[used]).astype(np.int64)
             cell_of = np.repeat(used, cells)
             cell_no = np.arange(len(cell_of)) - np.repeat(np.cumsum(cells) - cells, cells)
-            base = _mix(element[cell_of].astype(np.uint64) ^ _mix((np.uint64(seed) << np.uint64(40)) + (np.uint64(layer) << np.uint64(32)) + cell_no.astype(np.uint64)))
+            base = _mix(element[cell_of].astype(np.int64).view(np.uint64) ^ _mix((np.uint64(seed) << np.uint64(40)) + (np.uint64(layer) << np.uint64(32)) + cell_no.astype(np.uint64)))
             mean = rate * length
             thrown = np.searchsorted(_poisson(mean), _unit(_mix(base ^ _G)), side="right")
             dart_cell = np.repeat(np.arange(len(cell_of)), thrown)
@@ -100,7 +106,7 @@ def _poisson(mean: float) -> np.ndarray:
 
 
 def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, weights) of the words in more than common_from of all sets, counted over every set.
+    """(sorted word hashes, weights) of the words in more than common_from of all sets, counted over every set.
 
     A set has l words on average, so at most l / common_from words can be that common, however large the input. The weight falls
     from 1 at a share of `rare` with the logarithm of the share, down to `light`. All other words weigh 1.
@@ -113,7 +119,7 @@ def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: flo
 
 
 def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_band: int, bands: int, seed: int = 0) -> DataFrame:
-    """(band, id, size, bits), one row for each node and band. nodes: (id long, words array<bigint>)."""
+    """(band, id, bits, mark), one row for each node and band. nodes: (id long, words array<int>)."""
     shared = nodes.sparkSession.sparkContext.broadcast(common)
     k, words_at_once = rows_per_band * bands, 40_000
 
@@ -142,17 +148,95 @@ def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_
             key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(seed << 20), sig.shape[:2]).copy()
             for i in range(rows_per_band):
                 key = _mix(key ^ (sig[:, :, i] * _M2))
-        full = np.diff(starts) > 0
-        bits = np.zeros(len(full), np.uint64)
+        full, size = np.diff(starts) > 0, np.diff(starts)
+        bits, rest = np.zeros(len(full), np.uint64), np.zeros(len(full), np.uint64)
         if full.any():
-            bits[full] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & 63).astype(np.uint64), starts[:-1][full])
+            kind = (tokens.astype(np.int64) % CLASSES).astype(np.uint64)
+            one = np.uint64(1)
+            low = np.where(kind < 64, one << np.minimum(kind, np.uint64(63)), np.uint64(0))
+            high = np.where(kind >= 64, one << (np.maximum(kind, np.uint64(64)) - np.uint64(64)), np.uint64(0))
+            bits[full] = np.bitwise_xor.reduceat(low, starts[:-1][full])
+            rest[full] = np.bitwise_xor.reduceat(high, starts[:-1][full])
+        mark = (np.minimum(size, MOST_SIZE).astype(np.uint64) << np.uint64(CLASSES - 64)) | rest
         return pa.RecordBatch.from_pydict({
-            "id": ids, "size": pa.array(np.diff(starts).astype(np.int32)), "bits": pa.array(bits.view(np.int64)),
+            "id": ids, "bits": pa.array(bits.view(np.int64)), "mark": pa.array(mark.view(np.int64)),
             "keys": pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel())),
         })
 
-    made = nodes.select("id", "words").mapInArrow(part, "id long, size int, bits long, keys array<long>")
-    return made.select(F.explode("keys").alias("band"), "id", "size", "bits")
+    made = nodes.select("id", "words").mapInArrow(part, "id long, bits long, mark long, keys array<long>")
+    return made.select(F.explode("keys").alias("band"), "id", "bits", "mark")
+
+
+def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
+    """(a, b) of the pairs of a band that may reach the threshold, a < b, and, with null a and b, the rows of hot bands.
+
+    One shuffle by band; a task then passes through its sorted rows once and holds no more than a batch and hot rows.
+    """
+    factor = (1 - threshold) / (1 + threshold)
+
+    def part(batches):
+        import pyarrow as pa
+
+        names = ("band", "id", "bits", "mark")
+
+        def pairs(cols):
+            band, id_, bits, mark = cols
+            at = np.arange(len(band))
+            for d in range(1, len(band)):
+                at = at[: np.searchsorted(at, len(band) - d)]
+                at = at[band[at] == band[at + d]]
+                if not len(at):
+                    return
+                odd = np.bitwise_count((bits[at] ^ bits[at + d]).view(np.uint64)).astype(np.int64)  # of signed numbers it would count the absolute value's bits
+                odd += np.bitwise_count((mark[at] ^ mark[at + d]) & LOW)
+                sizes = mark >> (CLASSES - 64)
+                x, y = sizes[at], sizes[at + d]
+                ok = at[(odd <= (x + y) * factor + 1e-9) | (np.maximum(x, y) >= MOST_SIZE)]
+                if len(ok):
+                    yield np.minimum(id_[ok], id_[ok + d]), np.maximum(id_[ok], id_[ok + d])
+
+        def batch(a, b, cols=None):
+            n = len(a) if cols is None else len(cols[0])
+            none = pa.nulls(n, pa.int64())
+            got = [none] * 4 if cols is None else [pa.array(c) for c in cols]
+            return pa.RecordBatch.from_arrays([pa.array(a) if cols is None else none, pa.array(b) if cols is None else none, *got], names=["a", "b", *names])
+
+        held, hot_band = [np.zeros(0, np.int64)] * 4, None
+        for b in batches:
+            cols = [np.concatenate([h, b.column(n).to_numpy(zero_copy_only=False)]) for h, n in zip(held, names)]
+            if not len(cols[0]):
+                continue
+            band = cols[0]
+            last = int(np.searchsorted(band, band[-1]))  # the last band may go on in the next batch
+            if hot_band is not None:
+                upto = int(np.searchsorted(band, hot_band, side="right"))
+                if upto:
+                    yield batch(None, None, [c[:upto] for c in cols])
+                hot_band = hot_band if upto == len(band) else None
+                cols, last = [c[upto:] for c in cols], last - upto
+            yield from (batch(*p) for p in settled([c[: max(0, last)] for c in cols], pairs) if len(p) == 2)
+            yield from (batch(None, None, p) for p in hot_of([c[: max(0, last)] for c in cols]))
+            held = [c[max(0, last) :] for c in cols]
+            if len(held[0]) > hot:
+                hot_band = held[0][0]
+                yield batch(None, None, held)
+                held = [h[:0] for h in held]
+        yield from (batch(*p) for p in settled(held, pairs))
+
+    def settled(cols, pairs):
+        """Pairs of the bands that aren't hot."""
+        if len(cols[0]):
+            _, where, n = np.unique(cols[0], return_inverse=True, return_counts=True)
+            few = (n[where] > 1) & (n[where] <= hot)
+            yield from pairs([c[few] for c in cols])
+
+    def hot_of(cols):
+        if len(cols[0]):
+            _, where, n = np.unique(cols[0], return_inverse=True, return_counts=True)
+            if (n > hot).any():
+                yield [c[n[where] > hot] for c in cols]
+
+    return rows.repartition("band").sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
 
 
 def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 2000, box: Scratch | None = None) -> DataFrame:
@@ -166,6 +250,7 @@ def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_ban
     spark = texts.sparkSession
     box = box or Scratch(spark, "neardup")
     docs = box.save(texts.where(F.col("words").isNotNull()).withColumn("_id", set_id("words")), "texts")
+    box.release_shuffles()
     nodes = box.save(docs.groupBy("_id").agg(F.first("words").alias("words")).select(F.col("_id").alias("id"), "words"), "nodes")
     links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box), "links")
     comp = connected_components(links, "a", "b", box=box)
@@ -179,27 +264,25 @@ def _verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 
 
 def _may_reach(x: str, y: str, threshold: float):
-    return F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) <= most_difference(F.col(f"{x}.size"), F.col(f"{y}.size"), threshold)
+    odd = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) + F.bit_count(F.col(f"{x}.mark").bitwiseXOR(F.col(f"{y}.mark")).bitwiseAND(F.lit(LOW)))
+    size = lambda t: F.shiftright(f"{t}.mark", CLASSES - 64)
+    return (odd <= most_difference(size(x), size(y), threshold)) | (F.greatest(size(x), size(y)) >= MOST_SIZE)
 
 
 def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch) -> DataFrame:
-    rows = band_rows(nodes, common_word_weights(nodes), rows_per_band, bands)
-    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).where(F.col("n") > 1)
-    # One shuffle by band serves the count, both sides of the join and the rows of hot bands, which go into the same table.
-    few = counted.where(F.col("n") <= hot)
-    x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & _may_reach("x", "y", threshold)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    hot_rows = counted.where(F.col("n") > hot).select("id", "band", "size", "bits")
-    found = box.save(pairs.unionByName(hot_rows, allowMissingColumns=True), "candidates")
+    common = common_word_weights(nodes)
+    box.release_shuffles()
+    found = box.save(band_pairs(band_rows(nodes, common, rows_per_band, bands), threshold, hot), "candidates")
+    box.release_shuffles()
     links = box.save(_verified(found.where(F.col("a").isNotNull()), nodes, threshold), "pairs")
-    many = found.where(F.col("id").isNotNull()).select("id", "band", "size", "bits")
+    many = found.where(F.col("id").isNotNull()).select("id", "band", "bits", "mark")
     if many.isEmpty():
         return links
     return links.unionByName(_hot_links(many, nodes, links, threshold, box)).distinct()
 
 
 def _hot_links(many: DataFrame, nodes: DataFrame, links: DataFrame, threshold: float, box: Scratch, salts: int = 64) -> DataFrame:
-    first = many.groupBy("band").agg(F.min_by(F.struct("id", "size", "bits"), "id").alias("h")).select("band", "h.*")
+    first = many.groupBy("band").agg(F.min_by(F.struct("id", "bits", "mark"), "id").alias("h")).select("band", "h.*")
     x, y = many.alias("x"), first.alias("y")
     star = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") != F.col("y.id")) & _may_reach("x", "y", threshold)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     star = box.save(_verified(star, nodes, threshold), "star")

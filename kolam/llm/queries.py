@@ -46,12 +46,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 # 2
 def _texts(spark: SparkSession, d: str) -> DataFrame:
-    from kolam.llm.lookalikes import same_look_column
     from kolam.llm.wordsets import word_set
 
     en = current_rows(table(spark, d, "final_sentences"), ["sentence"]).where(has_text("sentence")).select(F.lit("sentence").alias("field_name"), "sentence_id", word_set("sentence").alias("words"))
-    te = current_rows(table(spark, d, "final_translations"), ["telugu_sentence"]).where(has_text("telugu_sentence")).select("sentence_id", same_look_column("telugu_sentence").alias("t"))
-    return en.unionByName(te.select(F.lit("telugu_sentence").alias("field_name"), "sentence_id", word_set("t").alias("words")))
+    te = current_rows(table(spark, d, "final_translations"), ["telugu_sentence"]).where(has_text("telugu_sentence"))
+    return en.unionByName(te.select(F.lit("telugu_sentence").alias("field_name"), "sentence_id", word_set("telugu_sentence", same_form=True).alias("words")))
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -171,12 +170,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 # 7
 def _units(spark: SparkSession, d: str) -> DataFrame:
-    from kolam.llm.lookalikes import same_look_column
     from kolam.llm.wordsets import word_set
 
     cur = current_rows(table(spark, d, "final_translations"), ["row_id", "batch_no", "status", "telugu_sentence"]).where(has_text("telugu_sentence") & F.col("row_id").isNotNull())
-    formed = cur.select("sentence_id", "row_id", "batch_no", (norm_name("status") == "complete").alias("complete"), same_look_column("telugu_sentence").alias("t"))
-    return formed.select("sentence_id", "row_id", "batch_no", "complete", word_set("t").alias("words"))
+    return cur.select("sentence_id", "row_id", "batch_no", (norm_name("status") == "complete").alias("complete"), word_set("telugu_sentence", same_form=True).alias("words"))
 
 
 def p7_repeats(spark: SparkSession, d: str) -> DataFrame:

@@ -1,29 +1,73 @@
 """Texts as sets of words, for the near-duplicate operators.
 
-Words are parted by white space; case and punctuation at a word's ends are ignored. A set is kept as the sorted distinct 64-bit
-hashes of its words, cut to 40 bits for less to move; two different words of one pair of texts meet with a chance near 1e-9.
+Words are parted by white space; case and punctuation or symbols at a word's ends are ignored. A set is kept as the sorted distinct
+32-bit hashes of its words; that two different words of one pair of texts meet has a chance near 1e-7.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
+import pandas as pd
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
+
+from kolam.llm.lookalikes import same_look
+
+
+@lru_cache(1 << 16)
+def _edge(ch: str) -> bool:
+    return unicodedata.category(ch)[0] in "PS"
+
+
+def bare_word(w: str) -> str:
+    a, b = 0, len(w)
+    while a < b and _edge(w[a]):
+        a += 1
+    while b > a and _edge(w[b - 1]):
+        b -= 1
+    return w[a:b]
+
+
+def _hash(s: str) -> int:
+    return xxhash.xxh32_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 31)
+
+
+_known: dict[str, int | None] = {}
+
+
+def hashed_words(text: str) -> list[int]:
+    """The sorted distinct word hashes of a text; of a text without words, one hash of the text itself."""
+    out = set()
+    for w in text.lower().split():
+        try:
+            h = _known[w]
+        except KeyError:
+            if len(_known) >= 200_000:
+                _known.clear()
+            bare = bare_word(w)
+            h = _known[w] = _hash(bare) if bare else None
+        if h is not None:
+            out.add(h)
+    return sorted(out) or [_hash("\0" + text)]
+
 
-_EDGE = r"(?<![^\s\p{Z}])[\p{P}\p{S}]+|[\p{P}\p{S}]+(?![^\s\p{Z}])"
+@F.pandas_udf(ArrayType(IntegerType()))
+def _plain_set(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else hashed_words(t) for t in texts], dtype=object)
 
 
-def words(c) -> Column:
-    """The words of a text in order, in lower case, without punctuation at their ends; an empty array for none, null for null."""
-    c = F.col(c) if isinstance(c, str) else c
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"(?U)[\s\p{Z}]+", " "), _EDGE, ""))
-    return F.filter(F.split(bare, " +"), lambda w: w != "")
+@F.pandas_udf(ArrayType(IntegerType()))
+def _look_set(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else hashed_words(same_look(t)) for t in texts], dtype=object)
 
 
-def word_set(c) -> Column:
-    """The sorted distinct word hashes of a text as array<bigint>; for a text without words, one hash of the text itself."""
-    c = F.col(c) if isinstance(c, str) else c
-    hashes = F.transform(words(c), lambda w: F.shiftrightunsigned(F.xxhash64(w), 24))
-    return F.when(F.size(hashes) > 0, F.array_sort(F.array_distinct(hashes))).otherwise(F.array(F.shiftrightunsigned(F.xxhash64(c), 24)))
+def word_set(c, same_form: bool = False) -> Column:
+    """hashed_words as array<int>, null for null; with same_form of the text's same_look."""
+    return (_look_set if same_form else _plain_set)(F.col(c) if isinstance(c, str) else c)
 
 
 def set_id(words_column: str) -> Column:
