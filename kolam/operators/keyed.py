@@ -6,7 +6,7 @@ map-side part, so a key with a large share of the rows needs no large sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kolam.scratch import Scratch
@@ -86,15 +86,24 @@ def chunks(df: DataFrame, order, size: int, per_job: int | None = None) -> DataF
     return out.withColumn("job_id", F.expr(f"chunk_id div {per_job}")) if per_job else out
 
 
+def positions_in_key(df: DataFrame, key: str, order, column: str = "n") -> DataFrame:
+    """df with each row's position from 1 within its key. Keys are range-sorted with the rows, so one key may span partitions."""
+    at = global_positions(df, [key, *_list(order)], "_pos")
+    first = at.groupBy(key).agg(F.min("_pos").alias("_first")).withColumnRenamed(key, "_key")
+    return at.join(first, at[key].eqNullSafe(F.col("_key"))).withColumn(column, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first", "_key")
+
+
 def renumber(df: DataFrame, key: str, order, base: Column | None = None, column: str = "sentence_id") -> DataFrame:
     """df with ids "key_number", numbered in order within the key from base + 1 (0 without base)."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*_list(order)))
-    return df.withColumn(column, F.concat_ws("_", F.col(key).cast("string"), (n + (F.lit(0) if base is None else F.coalesce(base, F.lit(0)))).cast("string")))
+    out = positions_in_key(df, key, order, "_n")
+    n = F.col("_n") + (F.lit(0) if base is None else F.coalesce(base, F.lit(0)))
+    return out.withColumn(column, F.concat_ws("_", F.col(key).cast("string"), n.cast("string"))).drop("_n")
 
 
 def merge_candidates(log: DataFrame, key: str, order: str, items: str, keep: list[str]) -> DataFrame:
-    """One row per key: its arrays of items joined in the log's order, the columns to keep from its first row."""
-    return log.groupBy(key).agg(
-        *[F.min_by(c, order).alias(c) for c in keep],
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(F.col(items), F.array()).alias("i")))), lambda x: x["i"])).alias(items),
-    )
+    """(key, keep..., pos, item): the items of a key's arrays, one after another in the log's order, numbered from 0; the columns to
+    keep from the key's first log row. One row per item, so that no key becomes one large row. order is unique in a key."""
+    first = first_wins(log.select(key, order, *keep), key, order).drop(order)
+    each = log.select(key, order, F.posexplode(items).alias("_at", "item"))
+    placed = positions_in_key(each, key, [order, "_at"], "_n")
+    return placed.join(first, key).select(key, *keep, (F.col("_n") - 1).alias("pos"), "item")
