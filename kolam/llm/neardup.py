@@ -58,35 +58,40 @@ def dart_signatures(tokens: np.ndarray, starts: np.ndarray, weights: np.ndarray,
     out = np.full(n * k, none, np.uint64)
     owner = np.repeat(np.arange(n), np.diff(starts))
     element, place = np.unique(tokens, return_inverse=True)
-    top = np.zeros(len(element))
+    top, low = np.zeros(len(element)), np.full(len(element), np.inf)
     np.maximum.at(top, place, weights)
+    np.minimum.at(low, place, weights)
+    fixed = bool((top == low).all())  # each element has one weight: its darts are sorted out once, not for each set
     length, layer = 1.0, 0
     active = np.diff(starts) > 0
     with np.errstate(over="ignore"):
         while active.any():
             use = np.flatnonzero(active[owner])
-            used = np.unique(place[use])
+            used = np.flatnonzero(np.bincount(place[use], minlength=len(element)))
             cells = np.ceil(top[used]).astype(np.int64)
             cell_of = np.repeat(used, cells)
             cell_no = np.arange(len(cell_of)) - np.repeat(np.cumsum(cells) - cells, cells)
             base = _mix(element[cell_of].astype(np.int64).view(np.uint64) ^ _mix((np.uint64(seed) << np.uint64(40)) + (np.uint64(layer) << np.uint64(32)) + cell_no.astype(np.uint64)))
             mean = rate * length
             thrown = np.searchsorted(_poisson(mean), _unit(_mix(base ^ _G)), side="right")
-            dart_cell = np.repeat(np.arange(len(cell_of)), thrown)
+            dart_cell = np.repeat(np.arange(len(cell_of), dtype=np.int32), thrown)
             number = np.arange(len(dart_cell)) - np.repeat(np.cumsum(thrown) - thrown, thrown)
             h = _mix(base[dart_cell] + number.astype(np.uint64) * _M1)
             height = cell_no[dart_cell] + _unit(_mix(h ^ _M1))
+            if fixed:
+                hit = height < top[cell_of][dart_cell]
+                h, dart_cell = h[hit], dart_cell[hit]
             rank = (np.uint64(layer) << np.uint64(58)) | (_mix(h ^ _M2) >> np.uint64(6))  # stretch, then time in it
             coordinate = (h % np.uint64(k)).astype(np.int64)
-            by_element = np.zeros(len(element) + 1, np.int64)
-            np.add.at(by_element, cell_of + 1, thrown)
-            first = np.cumsum(by_element)
+            first = np.concatenate([[0], np.cumsum(np.bincount(cell_of[dart_cell], minlength=len(element)))])
             count = (first[1:] - first[:-1])[place[use]]
-            token = np.repeat(use, count)
-            dart = np.arange(len(token)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[place[use]], count)
-            inside = height[dart] < weights[token]
-            token, dart = token[inside], dart[inside]
-            np.minimum.at(out, owner[token] * k + coordinate[dart], rank[dart])
+            dart = np.arange(count.sum()) + np.repeat(first[place[use]] - (np.cumsum(count) - count), count)
+            at = np.repeat(owner[use] * k, count) + coordinate[dart]
+            rank = rank[dart]
+            if not fixed:
+                inside = height[dart] < np.repeat(weights[use], count)
+                at, rank = at[inside], rank[inside]
+            np.minimum.at(out, at, rank)
             active &= (out.reshape(n, k) == none).any(axis=1)
             length, layer = length * (2 if layer else 1), layer + 1
             if layer > 40:
@@ -121,7 +126,7 @@ def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: flo
 def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_band: int, bands: int, seed: int = 0) -> DataFrame:
     """(band, id, bits, mark), one row for each node and band. nodes: (id long, words array<int>)."""
     shared = nodes.sparkSession.sparkContext.broadcast(common)
-    k, words_at_once = rows_per_band * bands, 40_000
+    k, words_at_once = rows_per_band * bands, 80_000
 
     def part(batches):
         hashes, weight = shared.value
@@ -214,7 +219,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
                     yield batch(None, None, [c[:upto] for c in cols])
                 hot_band = hot_band if upto == len(band) else None
                 cols, last = [c[upto:] for c in cols], last - upto
-            yield from (batch(*p) for p in settled([c[: max(0, last)] for c in cols], pairs) if len(p) == 2)
+            yield from (batch(*p) for p in settled([c[: max(0, last)] for c in cols], pairs))
             yield from (batch(None, None, p) for p in hot_of([c[: max(0, last)] for c in cols]))
             held = [c[max(0, last) :] for c in cols]
             if len(held[0]) > hot:
@@ -223,18 +228,24 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
                 held = [h[:0] for h in held]
         yield from (batch(*p) for p in settled(held, pairs))
 
+    def run_lengths(band):
+        """For each row of a sorted column, how many rows have its value."""
+        starts = np.concatenate([[0], np.flatnonzero(band[1:] != band[:-1]) + 1])
+        n = np.diff(np.concatenate([starts, [len(band)]]))
+        return np.repeat(n, n)
+
     def settled(cols, pairs):
         """Pairs of the bands that aren't hot."""
         if len(cols[0]):
-            _, where, n = np.unique(cols[0], return_inverse=True, return_counts=True)
-            few = (n[where] > 1) & (n[where] <= hot)
+            n = run_lengths(cols[0])
+            few = (n > 1) & (n <= hot)
             yield from pairs([c[few] for c in cols])
 
     def hot_of(cols):
-        if len(cols[0]):
-            _, where, n = np.unique(cols[0], return_inverse=True, return_counts=True)
+        if len(cols[0]) > hot:
+            n = run_lengths(cols[0])
             if (n > hot).any():
-                yield [c[n[where] > hot] for c in cols]
+                yield [c[n > hot] for c in cols]
 
     return rows.repartition("band").sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
 
