@@ -28,7 +28,7 @@ def keep_fraction_cutoffs(values: DataFrame, targets: DataFrame, source: str = "
     box = Scratch(spark, "cutoffs")
     v = values.select(norm_name(source).alias("s"), F.col(value).cast("double").alias("v")).where(F.col("s").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
     wanted = targets.select(F.col(source).alias("spelled"), F.col(fraction).cast("double").alias("fraction"), norm_name(source).alias("s")).distinct()
-    asked = wanted.where(F.col("s").isNotNull()).withColumn("k_of", F.when(~F.isnan("fraction"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("fraction")))))
+    asked = wanted.where(F.col("s").isNotNull()).withColumn("k_of", F.when(F.col("fraction").isNotNull() & ~F.isnan("fraction"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("fraction")))))
     base = live = box.save(v, "values")
     n = box.save(base.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "sizes")
     goal = asked.join(n, "s", "left").withColumn("wanted", F.ceil(F.col("k_of") * F.col("n")))
@@ -76,7 +76,7 @@ def keep_fraction_cutoffs(values: DataFrame, targets: DataFrame, source: str = "
     ended = few.withColumn("r", F.row_number().over(Window.partitionBy("s", "rank").orderBy(F.desc("v")))).where(F.col("r") == F.col("k")).select("s", "rank", F.col("v").alias("found"))
     cut = state.join(ended, ["s", "rank"], "left").select("s", "rank", F.coalesce("cutoff", "found").alias("cutoff"))
     kept = base.join(cut, "s").groupBy("s", "rank").agg(F.first("cutoff").alias("cutoff"), F.sum((F.col("v") >= F.col("cutoff")).cast("long")).alias("n_kept"))
-    out = goal.withColumn("rank", F.greatest(F.col("wanted"), F.lit(1))).join(kept, ["s", "rank"], "left")
+    out = goal.withColumn("rank", F.when(F.col("wanted").isNotNull(), F.greatest(F.col("wanted"), F.lit(1)))).join(kept, ["s", "rank"], "left")
     return box.save(out.select(F.col("spelled").alias(source), F.col("fraction").alias(fraction), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("wanted", F.lit(0)).alias("wanted"), "cutoff", F.coalesce("n_kept", F.lit(0)).alias("n_kept")), "cutoffs")
 
 

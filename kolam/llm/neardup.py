@@ -250,7 +250,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
     return rows.repartition("band").sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
 
 
-def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 8000, box: Scratch | None = None) -> DataFrame:
+def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None) -> DataFrame:
     """One row per text: all columns of texts but words, and group. Texts are in one group if their word sets reach the threshold,
     or if other texts link them; a text alone is a group of its own.
 

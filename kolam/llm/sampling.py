@@ -130,8 +130,8 @@ def target_report(records: DataFrame, targets: DataFrame, size: int) -> DataFram
 def proportional_sample(records: DataFrame, report: DataFrame, key: str, weight: str | None = None, seed: int = 0, block: int = 20_000) -> DataFrame:
     """(key, domain, category) of the sampled records, names in their compared form; report is target_report's.
 
-    Each category gives exactly its wished number. Records of one weight have equal chances; weight, above 0, tilts them. Records
-    with a null key take no part; repeated keys are records of their own. Equal inputs and seed give equal samples.
+    Each category gives exactly its wished number. Records of one weight have equal chances; weight, above 0, tilts them. A null
+    key is a key like any other; repeated keys are records of their own. Equal inputs and seed give equal samples.
     """
     spark = records.sparkSession
     box = Scratch(spark, "sample")
@@ -139,7 +139,7 @@ def proportional_sample(records: DataFrame, report: DataFrame, key: str, weight:
     if not wished:
         return local_table(spark, [], f"{key} {dict(records.dtypes)[key]}, domain string, category string")
     cells = local_table(spark, [(i, d, c) for i, d, c, _ in wished], "cell int, domain string, category string")
-    kept = records.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), present_name("domain").alias("domain"), present_name("category").alias("category"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight")).join(cells, ["domain", "category"])
+    kept = records.select(F.col(key).alias("k"), present_name("domain").alias("domain"), present_name("category").alias("category"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight")).join(cells, ["domain", "category"])
     kept = box.save(kept.select("k", "cell", "weight"), "records")
     logs = calibrate(kept, np.array([w for *_, w in wished], float))
     factors = local_table(spark, [(i, float(min(1e300, math.exp(min(x, 690))))) for i, x in enumerate(logs)], "cell int, factor double")
