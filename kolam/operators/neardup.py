@@ -42,7 +42,7 @@ def near_pairs(rows: DataFrame, key: str, order: str, vector: str, threshold: fl
         a, b = x["o"].to_numpy()[s], y["o"].to_numpy()[t]
         keep = a < b if i == j else np.ones(len(a), bool)
         lo, hi = np.where(a < b, a, b)[keep], np.where(a < b, b, a)[keep]
-        return pd.DataFrame({"k": [p["k"].iloc[0]] * len(lo), "a": lo, "b": hi})
+        return pd.DataFrame({"k": pd.Series([p["k"].iloc[0]] * len(lo), dtype=object), "a": lo, "b": hi})
 
     return sides.groupBy("k", "i", "j").applyInPandas(find, f"k {kind[key]}, a {kind[order]}, b {kind[order]}").withColumnRenamed("k", key)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kolam.functions.text import strip
 from kolam.operators.keyed import global_positions
@@ -51,4 +50,4 @@ def clean_words(raw: DataFrame) -> DataFrame:
     return out.where((F.coalesce("word", F.lit("")) != "") & (F.lower("word") != "nan"))
 
 
-WORD = T.StructType.fromDDL("row_id INT, domain STRING, category STRING, word STRING")
+WORD = "row_id INT, domain STRING, category STRING, word STRING"
