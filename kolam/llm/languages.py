@@ -191,7 +191,7 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
         for p in batches:
             rows = [(l, t[a:b]) for t, l in zip(p["t"], p["l"]) for a, b in sentences(t)]
             if rows:
-                yield pd.DataFrame(rows, columns=["l", "s"])
+                yield pd.DataFrame(rows, columns=["l", "s"], dtype=object)
 
     found = some.mapInPandas(split, "l string, s string").where(F.length("s") >= 12).distinct()
     rows = found.orderBy(F.xxhash64("s"), "s", "l").limit(sample_sentences).toPandas()
@@ -262,7 +262,7 @@ def language_segments(documents: DataFrame, languages: Languages, key: str = "do
             else:
                 out.append([n, a, b, l, c * (b - a), b - a])
         p = pd.DataFrame(out, columns=["n", "start", "end", "lang", "c", "w"])
-        return pd.DataFrame({key: keys.iloc[p["n"].to_numpy()].to_numpy(), "segment": p.groupby("n").cumcount(), "start": p["start"], "end": p["end"], "lang": p["lang"], "confidence": p["c"] / p["w"]})
+        return pd.DataFrame({key: keys.iloc[p["n"].to_numpy()].to_numpy(), "segment": p.groupby("n").cumcount(), "start": p["start"], "end": p["end"], "lang": p["lang"].astype(object), "confidence": p["c"] / p["w"]})
 
     given = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull())
     return given.mapInPandas(segment, f"{key} {kind}, segment long, start long, end long, lang string, confidence double")

@@ -154,7 +154,7 @@ def proportional_sample(records: DataFrame, report: DataFrame, key: str, weight:
         after = pivotal(p["p"].to_numpy(), rng)
         if int(p["blocks"].iloc[0]) == 1:
             after = np.round(after)
-        p = p.assign(p=after)
+        p = p.assign(p=after, k=p["k"].astype(object))
         return p.loc[p["p"] > 0, ["k", "cell", "p", "block", "blocks"]]
 
     for round_ in range(20):
