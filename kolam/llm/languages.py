@@ -113,6 +113,15 @@ class Automaton:
                     self.table[state, s] = to
         self.log_size = float(np.log2(max(2, len(text))))
 
+    def __getstate__(self):  # what is sent to the workers holds the transitions only
+        used = np.flatnonzero(self.table.ravel() >= 0)
+        return {"lookup": self.lookup, "log_size": self.log_size, "shape": self.table.shape, "at": used.astype(np.int32), "to": self.table.ravel()[used]}
+
+    def __setstate__(self, kept):
+        self.lookup, self.log_size = kept["lookup"], kept["log_size"]
+        self.table = np.full(kept["shape"], -1, np.int32)
+        self.table.ravel()[kept["at"]] = kept["to"]
+
     def phrases(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases needed by each of the sentences, the rows of codes (code points, longest first, padded at the end)."""
         points = np.zeros(0x110000, np.uint8 if len(self.lookup) < 255 else np.int32)
@@ -174,7 +183,7 @@ class Languages:
         return lang, sure
 
 
-def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 150_000, least_kept: float = 0.15) -> Languages:
+def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 100_000, least_kept: float = 0.15) -> Languages:
     """Automata of the labelled text of documents, from a bounded sample.
 
     sample_documents and sample_sentences bound what is sampled, by hash, and comes to the driver; trial_chars bounds an automaton of
