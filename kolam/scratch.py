@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_ROOT = str(Path(__file__).resolve().parents[1])
+
+
+def ensure_importable(spark: SparkSession) -> None:
+    """Lets Python workers that see the same files import this package, whatever folder the driver was started in. On clusters
+    without such files the package is shipped as usual, by --py-files."""
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in known:
+        env["PYTHONPATH"] = os.pathsep.join([x for x in known if x] + [_ROOT])
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +47,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ensure_importable(spark)
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
