@@ -177,28 +177,47 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
 
     One shuffle by band; a task then passes through its sorted rows once and holds no more than a batch and hot rows.
     """
-    factor = (1 - threshold) / (1 + threshold)
+    factor, at_once = (1 - threshold) / (1 + threshold), 60_000
 
     def part(batches):
         import pyarrow as pa
 
         names = ("band", "id", "bits", "mark")
 
+        def passes(bits_x, bits_y, mark_x, mark_y):
+            """Whether the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
+            cap = ((mark_x >> (CLASSES - 64)) + (mark_y >> (CLASSES - 64))) * factor + 1e-9
+            cap = np.where((mark_x | mark_y) >> (CLASSES - 64) >= MOST_SIZE, 1 << 23, cap)  # such a size isn't known exactly
+            odd = np.bitwise_count(bits_x ^ bits_y)
+            ok = odd <= cap
+            where = np.nonzero(ok)
+            x, y, odd, cap = (np.broadcast_to(v, ok.shape)[where] for v in (mark_x, mark_y, odd, cap))
+            sure = odd + np.bitwise_count((x ^ y) & LOW) <= cap
+            return tuple(w[sure] for w in where)
+
         def pairs(cols):
             band, id_, bits, mark = cols
-            at = np.arange(len(band))
-            for d in range(1, len(band)):
+            bits = bits.view(np.uint64)  # of signed numbers bitwise_count would count the absolute value's bits
+            n = run_lengths(band)
+            short = np.flatnonzero(n <= 48)
+            at = short
+            for d in range(1, 49):
                 at = at[: np.searchsorted(at, len(band) - d)]
                 at = at[band[at] == band[at + d]]
                 if not len(at):
-                    return
-                odd = np.bitwise_count((bits[at] ^ bits[at + d]).view(np.uint64)).astype(np.int64)  # of signed numbers it would count the absolute value's bits
-                odd += np.bitwise_count((mark[at] ^ mark[at + d]) & LOW)
-                sizes = mark >> (CLASSES - 64)
-                x, y = sizes[at], sizes[at + d]
-                ok = at[(odd <= (x + y) * factor + 1e-9) | (np.maximum(x, y) >= MOST_SIZE)]
+                    break
+                ok = at[passes(bits[at], bits[at + d], mark[at], mark[at + d])[0]]
                 if len(ok):
-                    yield np.minimum(id_[ok], id_[ok + d]), np.maximum(id_[ok], id_[ok + d])
+                    yield id_[ok], id_[ok + d]
+            begin = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
+            for first in begin[n[begin] > 48]:
+                end = first + n[first]
+                for r in range(first, end, 256):
+                    rows_ = slice(r, min(r + 256, end))
+                    i, j = passes(bits[rows_, None], bits[None, r:end], mark[rows_, None], mark[None, r:end])
+                    ok = i < j
+                    if ok.any():
+                        yield id_[r + i[ok]], id_[r + j[ok]]
 
         def batch(a, b, cols=None):
             n = len(a) if cols is None else len(cols[0])
@@ -219,14 +238,17 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
                     yield batch(None, None, [c[:upto] for c in cols])
                 hot_band = hot_band if upto == len(band) else None
                 cols, last = [c[upto:] for c in cols], last - upto
-            yield from (batch(*p) for p in settled([c[: max(0, last)] for c in cols], pairs))
+            if last < at_once and len(cols[0]) - last <= hot and hot_band is None:  # wait for more rows
+                held = cols
+                continue
+            yield from (batch(np.minimum(*p), np.maximum(*p)) for p in settled([c[: max(0, last)] for c in cols], pairs))
             yield from (batch(None, None, p) for p in hot_of([c[: max(0, last)] for c in cols]))
             held = [c[max(0, last) :] for c in cols]
             if len(held[0]) > hot:
                 hot_band = held[0][0]
                 yield batch(None, None, held)
                 held = [h[:0] for h in held]
-        yield from (batch(*p) for p in settled(held, pairs))
+        yield from (batch(np.minimum(*p), np.maximum(*p)) for p in settled(held, pairs))
 
     def run_lengths(band):
         """For each row of a sorted column, how many rows have its value."""
