@@ -60,7 +60,17 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 @lru_cache(1 << 15)
 def _script_of(ch: str) -> str:
-    return unicodedata.name(ch, "?").split()[0].split("-")[0] if ch.isalpha() else ""
+    """The script of a letter or mark, empty for all else."""
+    name = unicodedata.name(ch, "?").split()[0].split("-")[0] if unicodedata.category(ch)[0] in "LM" else ""
+    return "" if name == "COMBINING" else name
+
+
+def in_script(s: str, script: str) -> str:
+    """The text without letters of other scripts, as words of another language that are only quoted."""
+    if s.isascii():
+        return s
+    foreign = {ord(ch): None for ch in set(s) if _script_of(ch) not in ("", script)}
+    return s.translate(foreign) if foreign else s
 
 
 def main_script(s: str) -> str:
@@ -164,11 +174,11 @@ class Languages:
             idx = np.flatnonzero(scripts == script)
             if not rivals:
                 continue
-            lengths = np.array([len(found[i]) for i in idx])
+            low = [in_script(found[i], script).lower() for i in idx]
+            lengths = np.array([len(t) for t in low])
             order = np.argsort(-lengths, kind="stable")
-            idx, lengths = idx[order], lengths[order]
+            idx, lengths, low = idx[order], lengths[order], [low[i] for i in order]
             codes = np.full((len(idx), int(lengths[0])), 10, np.int32)
-            low = [found[i].lower() if len(found[i].lower()) == n else found[i] for i, n in zip(idx, lengths)]
             whole = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.int32)
             codes[np.arange(codes.shape[1]) < lengths[:, None]] = whole
             costs = np.array([m.phrases(codes, lengths) * (m.log_size if weighed else 1.0) / lengths for _, m in rivals])
@@ -183,13 +193,14 @@ class Languages:
         return lang, sure
 
 
-def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 100_000, least_kept: float = 0.15) -> Languages:
+def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 100_000, least_kept: float = 0.15, least_sure: float = 0.15) -> Languages:
     """Automata of the labelled text of documents, from a bounded sample.
 
     sample_documents and sample_sentences bound what is sampled, by hash, and comes to the driver; trial_chars bounds an automaton of
     the trials and sample_chars one of the result. least_kept: the part of a language's sentences in a script that must come out as
     labelled, else it has no automaton for that script. In the trials the automata are as large as the labels are frequent and
-    phrases aren't weighed, so that a few mislabelled sentences don't win against the many of their true language. Without labelled
+    phrases aren't weighed, so that a few mislabelled sentences don't win against the many of their true language. A sentence that
+    wins by less than the confidence least_sure stays out until, in a later trial, the other language has lost what is like it. Without labelled
     text there are no automata, and all text is und.
     """
     labelled = documents.select(F.col(text).alias("t"), label_language(label).alias("l")).where(F.col("l").isNotNull() & F.col("t").isNotNull())
@@ -208,12 +219,12 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
     rows = rows[rows["script"] != ""].reset_index(drop=True)
     kept = np.ones(len(rows), bool)
     half = (np.arange(len(rows)) % 2).astype(bool)
-    for _ in range(3):
-        came = np.empty(len(rows), object)
+    for _ in range(4):
+        came, sure = np.empty(len(rows), object), np.zeros(len(rows))
         for side in (False, True):
             other = rows[kept & (half != side)]
-            came[half == side] = Languages(_sample(other, trial_chars)).judge(rows["s"][half == side].tolist(), weighed=False)[0]
-        right = came == rows["l"].to_numpy()
+            came[half == side], sure[half == side] = Languages(_sample(other, trial_chars)).judge(rows["s"][half == side].tolist(), weighed=False)
+        right = (came == rows["l"].to_numpy()) & (sure >= least_sure)
         kept = right.copy()
         for _, idx in rows.groupby(["l", "script"]).groups.items():
             if right[idx].mean() < least_kept:
@@ -226,7 +237,7 @@ def _sample(rows: pd.DataFrame, chars: int) -> dict[tuple[str, str], str]:
     for key, own in rows.groupby(["l", "script"]):
         text, size = [], 0
         for s in own["s"]:
-            text.append(s.lower())
+            text.append(in_script(s, key[1]).lower())
             size += len(s) + 1
             if size >= chars:
                 break
