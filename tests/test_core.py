@@ -273,3 +273,17 @@ def test_config(tmp_path):
     assert c.translation.unit_size == 5 and c.translation.rules.max_latin_run == 3 and c.generation.batch_size == 25
     with pytest.raises(ValueError):
         overlay(Config(), {"nothing": 1})
+
+
+def test_requests():
+    from kolam.providers.requests import ClientProvider, Style, batch_lines, chat_request, chunk_of
+
+    r = chat_request('[{"a": "తె"}]', "be brief", "m", Style("records", 0.9, 10, "LOW"))
+    assert r["temperature"] == 0.9 and r["response_format"] and '"records"' in r["messages"][1]["content"] and r["thinking_level"] == "LOW"
+    assert "temperature" not in chat_request("[]", "p", "m", Style(temperature=1)) and "response_format" not in chat_request("[]", "p", "m")
+    lines = batch_lines({3: "[]", 1: "తె"}, "p", "m")
+    assert [json.loads(x)["custom_id"] for x in lines] == ["chunk-1", "chunk-3"] and "తె" in lines[0]
+    assert chunk_of("chunk-12") == 12 and chunk_of("12") is None and chunk_of("chunk-x") is None
+    p = ClientProvider("n", "m", "p", lambda q: "ok", lambda ls: f"job{len(ls)}", lambda j: "completed", lambda j: [("chunk-1", "a"), ("chunk-2", None), ("odd", "b")])
+    job = p.submit({1: "x", 2: "y"})
+    assert p.complete("x") == "ok" and p.status(job) is Status.SUCCEEDED and p.fetch(job) == {1: "a"}
