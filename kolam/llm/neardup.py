@@ -197,6 +197,8 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
 
         def pairs(cols):
             band, id_, bits, mark = cols
+            if not len(band):
+                return
             bits = bits.view(np.uint64)  # of signed numbers bitwise_count would count the absolute value's bits
             n = run_lengths(band)
             short = np.flatnonzero(n <= 48)
