@@ -193,14 +193,15 @@ class Languages:
         return lang, sure
 
 
-def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 100_000, least_kept: float = 0.15, least_sure: float = 0.15) -> Languages:
+def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang", sample_documents: int = 6_000, sample_sentences: int = 24_000, sample_chars: int = 40_000, trial_chars: int = 100_000, least_kept: float = 0.15, least_sure: float = 0.5) -> Languages:
     """Automata of the labelled text of documents, from a bounded sample.
 
     sample_documents and sample_sentences bound what is sampled, by hash, and comes to the driver; trial_chars bounds an automaton of
     the trials and sample_chars one of the result. least_kept: the part of a language's sentences in a script that must come out as
     labelled, else it has no automaton for that script. In the trials the automata are as large as the labels are frequent and
-    phrases aren't weighed, so that a few mislabelled sentences don't win against the many of their true language. A sentence that
-    wins by less than the confidence least_sure stays out until, in a later trial, the other language has lost what is like it. Without labelled
+    phrases aren't weighed, so that a few mislabelled sentences don't win against the many of their true language. A sentence
+    whose confidence is less than least_sure of its language's median stays out, at least until a later trial, when the other
+    language has lost what is like it. Without labelled
     text there are no automata, and all text is und.
     """
     labelled = documents.select(F.col(text).alias("t"), label_language(label).alias("l")).where(F.col("l").isNotNull() & F.col("t").isNotNull())
@@ -224,11 +225,10 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
         for side in (False, True):
             other = rows[kept & (half != side)]
             came[half == side], sure[half == side] = Languages(_sample(other, trial_chars)).judge(rows["s"][half == side].tolist(), weighed=False)
-        right = (came == rows["l"].to_numpy()) & (sure >= least_sure)
-        kept = right.copy()
+        right = came == rows["l"].to_numpy()
         for _, idx in rows.groupby(["l", "script"]).groups.items():
-            if right[idx].mean() < least_kept:
-                kept[idx] = False
+            ok = right[idx]
+            kept[idx] = ok & (ok.mean() >= least_kept) & (sure[idx] >= least_sure * (np.median(sure[idx][ok]) if ok.any() else 1.0))
     return Languages(_sample(rows[kept], sample_chars))
 
 
