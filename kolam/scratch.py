@@ -51,23 +51,32 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
-        self._paths: dict[int, str] = {}
+        self._paths: set[str] = set()
 
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         self._n += 1
         path = f"{self.path}/{self._n:03d}-{name}"
         df.write.option("compression", "zstd").mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        out._scratch_path = path
+        self._paths.add(path)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
         for t in tables:
-            path = self._paths.pop(id(t), None)
-            if path:
-                where = jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self._delete(getattr(t, "_scratch_path", None))
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Deletes all tables of this folder but these, which are what later plans still read."""
+        kept = {getattr(t, "_scratch_path", None) for t in tables}
+        for path in sorted(self._paths - kept):
+            self._delete(path)
+
+    def _delete(self, path: str | None) -> None:
+        if path in self._paths:
+            self._paths.discard(path)
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def release_shuffles(self) -> None:
         """Lets Spark's cleaner delete the shuffle files of plans that are already written out and no longer referenced."""
