@@ -184,15 +184,13 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
 
         names = ("band", "id", "bits", "mark")
 
-        def passes(bits_x, bits_y, mark_x, mark_y):
-            """Whether the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
-            cap = ((mark_x >> (CLASSES - 64)) + (mark_y >> (CLASSES - 64))) * factor + 1e-9
-            cap = np.where((mark_x | mark_y) >> (CLASSES - 64) >= MOST_SIZE, 1 << 23, cap)  # such a size isn't known exactly
+        def passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y):
+            """Where the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
             odd = np.bitwise_count(bits_x ^ bits_y)
-            ok = odd <= cap
-            where = np.nonzero(ok)
-            x, y, odd, cap = (np.broadcast_to(v, ok.shape)[where] for v in (mark_x, mark_y, odd, cap))
-            sure = odd + np.bitwise_count((x ^ y) & LOW) <= cap
+            where = np.nonzero(odd <= most_x + most_y)
+            x, y = (np.broadcast_to(m, odd.shape)[where] for m in (mark_x, mark_y))
+            cap = (np.broadcast_to(most_x, odd.shape)[where] + np.broadcast_to(most_y, odd.shape)[where])
+            sure = odd[where] + np.bitwise_count((x ^ y) & LOW) <= cap
             return tuple(w[sure] for w in where)
 
         def pairs(cols):
@@ -200,23 +198,24 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
             if not len(band):
                 return
             bits = bits.view(np.uint64)  # of signed numbers bitwise_count would count the absolute value's bits
+            size = mark >> (CLASSES - 64)
+            most = np.where(size >= MOST_SIZE, np.inf, size * factor + 1e-3).astype(np.float32)  # such a size isn't known exactly
             n = run_lengths(band)
-            short = np.flatnonzero(n <= 48)
-            at = short
+            at = np.flatnonzero(n <= 48)
             for d in range(1, 49):
                 at = at[: np.searchsorted(at, len(band) - d)]
                 at = at[band[at] == band[at + d]]
                 if not len(at):
                     break
-                ok = at[passes(bits[at], bits[at + d], mark[at], mark[at + d])[0]]
+                ok = at[passes(bits[at], bits[at + d], most[at], most[at + d], mark[at], mark[at + d])[0]]
                 if len(ok):
                     yield id_[ok], id_[ok + d]
             begin = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
             for first in begin[n[begin] > 48]:
                 end = first + n[first]
-                for r in range(first, end, 256):
-                    rows_ = slice(r, min(r + 256, end))
-                    i, j = passes(bits[rows_, None], bits[None, r:end], mark[rows_, None], mark[None, r:end])
+                for r in range(first, end, step := max(1, 200_000 // n[first])):
+                    x, y = slice(r, min(r + step, end)), slice(r, end)
+                    i, j = passes(bits[x, None], bits[None, y], most[x, None], most[None, y], mark[x, None], mark[None, y])
                     ok = i < j
                     if ok.any():
                         yield id_[r + i[ok]], id_[r + j[ok]]
@@ -283,12 +282,15 @@ def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_ban
     a band: with the default 3 x 30, at a weighted similarity of 0.6 in 99.9 of 100 cases, at 0.5 in 98; then it is checked exactly.
     """
     spark = texts.sparkSession
+    own = box is None
     box = box or Scratch(spark, "neardup")
     docs = box.save(texts.where(F.col("words").isNotNull()).withColumn("_id", set_id("words")), "texts")
     box.release_shuffles()
     nodes = box.save(docs.groupBy("_id").agg(F.first("words").alias("words")).select(F.col("_id").alias("id"), "words"), "nodes")
     links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box), "links")
     comp = connected_components(links, "a", "b", box=box)
+    if own:
+        box.keep_only(docs, comp)
     return docs.drop("words").join(comp.select(F.col("vertex").alias("_id"), "component"), "_id", "left").withColumn("group", F.coalesce("component", "_id")).drop("_id", "component")
 
 
