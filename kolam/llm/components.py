@@ -20,6 +20,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", hops: int
     Vertices are longs, best hashes, as then the seeds lie at random. Edges with a null end tie nothing; loops make a vertex known;
     repeated edges don't matter. No edges give no rows.
     """
+    own = box is None
     box = box or Scratch(edges.sparkSession, "components")
     e = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull()).distinct()
     first = box.save(e, "edges")
@@ -34,13 +35,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", hops: int
         lower = box.save(_both_ways(lifted.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "adjacency")
         box.drop(adjacency)
         adjacency = lower
-    if not levels:
-        return vertices.select(F.col("v").alias("vertex"), F.col("v").alias("component"))
-    top = levels[-1]
+    top = levels[-1] if levels else vertices.withColumn("label", F.col("v"))
     for lower in reversed(levels[:-1]):
         up = top.select(F.col("v").alias("label"), F.col("label").alias("higher"))
         top = lower.join(up, "label", "left").select("v", F.coalesce("higher", "label").alias("label"))
-    return box.save(vertices.join(top, "v", "left").select(F.col("v").alias("vertex"), F.coalesce("label", "v").alias("component")), "components")
+    out = box.save(vertices.join(top, "v", "left").select(F.col("v").alias("vertex"), F.coalesce("label", "v").alias("component")), "components")
+    if own:
+        box.keep_only(out)
+    return out
 
 
 def _both_ways(e: DataFrame) -> DataFrame:

@@ -77,7 +77,9 @@ def keep_fraction_cutoffs(values: DataFrame, targets: DataFrame, source: str = "
     cut = state.join(ended, ["s", "rank"], "left").select("s", "rank", F.coalesce("cutoff", "found").alias("cutoff"))
     kept = base.join(cut, "s").groupBy("s", "rank").agg(F.first("cutoff").alias("cutoff"), F.sum((F.col("v") >= F.col("cutoff")).cast("long")).alias("n_kept"))
     out = goal.withColumn("rank", F.when(F.col("wanted").isNotNull(), F.greatest(F.col("wanted"), F.lit(1)))).join(kept, ["s", "rank"], "left")
-    return box.save(out.select(F.col("spelled").alias(source), F.col("fraction").alias(fraction), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("wanted", F.lit(0)).alias("wanted"), "cutoff", F.coalesce("n_kept", F.lit(0)).alias("n_kept")), "cutoffs")
+    cutoffs = box.save(out.select(F.col("spelled").alias(source), F.col("fraction").alias(fraction), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("wanted", F.lit(0)).alias("wanted"), "cutoff", F.coalesce("n_kept", F.lit(0)).alias("n_kept")), "cutoffs")
+    box.keep_only(cutoffs)
+    return cutoffs
 
 
 def _in_play(live: DataFrame, open_: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:

@@ -205,6 +205,12 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_containers(spark, d).groupBy("doc_id").agg(F.max("piece").alias("last")).where(F.col("last") > 0).select("doc_id")
 
 
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """One row: containers, the tokens in them, and the share of their room that is used."""
+    per = p8_containers(spark, d).groupBy("container").agg(F.sum("size").alias("used"))
+    return per.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), (F.sum("used") / (F.count(F.lit(1)) * 2048)).alias("filled"))
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     from kolam.llm.mixing import mix_sources
 

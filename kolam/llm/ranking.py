@@ -93,7 +93,9 @@ def rank_walk(items: DataFrame, scores: list[str], key: str, damping: float = 0.
         for p in batches:
             yield pd.DataFrame({"k": p["k"], "stationarity": mass([p[c].to_numpy() for c in cells], len(p))})
 
-    return box.save(table.mapInPandas(score, out_schema), "stationarity").withColumnRenamed("k", key)
+    out = box.save(table.mapInPandas(score, out_schema), "stationarity")
+    box.keep_only(out)
+    return out.withColumnRenamed("k", key)
 
 
 def first_places(ranked: DataFrame, places: int, key: str) -> DataFrame:

@@ -80,9 +80,11 @@ def calibrate(records: DataFrame, wished: np.ndarray, max_rounds: int = 60) -> n
 def pivotal(p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """The probabilities after duels in order: each 0 or 1 but at most one, at the end of the chain; their sum is unchanged."""
     p = p.astype(float).copy()
-    open_ = np.flatnonzero((p > 1e-9) & (p < 1 - 1e-9))
+    between = (p > 1e-9) & (p < 1 - 1e-9)
+    p[~between] = np.round(p[~between])
+    open_ = np.flatnonzero(between)
     if not len(open_):
-        return np.round(p)
+        return p
     luck = rng.random(len(open_))
     keep = open_[0]
     for j, u in zip(open_[1:], luck):
@@ -96,8 +98,8 @@ def pivotal(p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
             p[win], p[keep] = 1.0, s - 1
             if p[keep] <= 1e-9 or p[keep] >= 1 - 1e-9:
                 p[keep] = round(p[keep])
-    p[np.abs(p) < 1e-9] = 0.0
-    p[np.abs(p - 1) < 1e-9] = 1.0
+    if not 1e-9 < p[keep] < 1 - 1e-9:
+        p[keep] = round(p[keep])
     return p
 
 

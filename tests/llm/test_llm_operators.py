@@ -291,6 +291,21 @@ def test_history_equals_brute_force(spark, cell):
     assert got == expected and expected
 
 
+def test_history_unit_by_unit(spark, tmp_path):
+    """Units screened one after another against an appended table come out as all at once."""
+    rng = random.Random(11)
+    data = [(i, rng.randrange(4), i // 50, rng.random() < 0.7, t) for i, t in enumerate(edited_texts(200, 12, words=120))]
+    df = spark.createDataFrame(data, "id int, key int, unit int, ok boolean, text string").withColumn("words", word_set("text"))
+    at_once = {r["id"] for r in repeats_of_history(df, history_table(df, "key", "unit", F.col("ok")), "key", "unit").collect()}
+    path, one_by_one = str(tmp_path / "history"), set()
+    for unit in range(4):
+        new = df.where(F.col("unit") == unit)
+        if unit:
+            one_by_one |= {r["id"] for r in repeats_of_history(new, spark.read.parquet(path), "key", "unit").collect()}
+        history_table(new, "key", "unit", F.col("ok")).write.mode("append").parquet(path)
+    assert at_once == one_by_one and at_once
+
+
 def test_history_of_nothing(spark):
     df = spark.createDataFrame([(1, 1, 1, True, [1, 2])], "id int, key int, unit int, ok boolean, words array<int>")
     assert rows(repeats_of_history(df, history_table(df.limit(0), "key", "unit", F.col("ok")), "key", "unit")) == []
