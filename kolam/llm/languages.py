@@ -220,7 +220,7 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
     rows = rows[rows["script"] != ""].reset_index(drop=True)
     kept = np.ones(len(rows), bool)
     half = (np.arange(len(rows)) % 2).astype(bool)
-    for _ in range(4):
+    for _ in range(3):
         came, sure = np.empty(len(rows), object), np.zeros(len(rows))
         for side in (False, True):
             other = rows[kept & (half != side)]

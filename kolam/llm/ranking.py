@@ -37,7 +37,8 @@ def rank_walk(items: DataFrame, scores: list[str], key: str, damping: float = 0.
     out_schema = f"k {dict(full.dtypes)['k']}, stationarity double"
     if not n:
         return local_table(spark, [], out_schema).withColumnRenamed("k", key)
-    cuts = full.agg(*[F.percentile_approx(s, [i / levels for i in range(levels + 1)], 10 * levels).alias(s) for s in names]).first()
+    shares = ", ".join(f"{i / levels!r}D" for i in range(levels + 1))  # as text: thousands of literals are slow to build one by one
+    cuts = full.agg(*[F.expr(f"percentile_approx({s}, array({shares}), {10 * levels})").alias(s) for s in names]).first()
     edges = [np.unique(np.asarray(cuts[s], dtype=float)) for s in names]  # a level holds the values from its edge up to the next
     b_edges = spark.sparkContext.broadcast(edges)
     cells = [f"c{i}" for i in range(len(names))]
