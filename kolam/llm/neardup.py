@@ -14,6 +14,7 @@ largest meet the rest. That finds every group all its pairs would.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,34 +173,39 @@ def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_
     return made.select(F.explode("keys").alias("band"), "id", "bits", "mark")
 
 
+def _passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y):
+    """Where the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
+    odd = np.bitwise_count(bits_x ^ bits_y)
+    where = np.nonzero(odd <= most_x + most_y)
+    x, y = (np.broadcast_to(m, odd.shape)[where] for m in (mark_x, mark_y))
+    cap = (np.broadcast_to(most_x, odd.shape)[where] + np.broadcast_to(most_y, odd.shape)[where])
+    sure = odd[where] + np.bitwise_count((x ^ y) & LOW) <= cap
+    return tuple(w[sure] for w in where)
+
+def _most(mark: np.ndarray, threshold: float) -> np.ndarray:
+    """Half of what two sets may differ in, as each one's size has it; without limit where the size isn't known exactly."""
+    size = mark >> (CLASSES - 64)
+    return np.where(size >= MOST_SIZE, np.inf, size * ((1 - threshold) / (1 + threshold)) + 1e-3).astype(np.float32)
+
+
 def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
     """(a, b) of the pairs of a band that may reach the threshold, a < b, and, with null a and b, the rows of hot bands.
 
     One shuffle by band; a task then passes through its sorted rows once and holds no more than a batch and hot rows.
     """
-    factor, at_once = (1 - threshold) / (1 + threshold), 60_000
+    at_once = 60_000
 
     def part(batches):
         import pyarrow as pa
 
         names = ("band", "id", "bits", "mark")
 
-        def passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y):
-            """Where the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
-            odd = np.bitwise_count(bits_x ^ bits_y)
-            where = np.nonzero(odd <= most_x + most_y)
-            x, y = (np.broadcast_to(m, odd.shape)[where] for m in (mark_x, mark_y))
-            cap = (np.broadcast_to(most_x, odd.shape)[where] + np.broadcast_to(most_y, odd.shape)[where])
-            sure = odd[where] + np.bitwise_count((x ^ y) & LOW) <= cap
-            return tuple(w[sure] for w in where)
-
         def pairs(cols):
             band, id_, bits, mark = cols
             if not len(band):
                 return
             bits = bits.view(np.uint64)  # of signed numbers bitwise_count would count the absolute value's bits
-            size = mark >> (CLASSES - 64)
-            most = np.where(size >= MOST_SIZE, np.inf, size * factor + 1e-3).astype(np.float32)  # such a size isn't known exactly
+            most = _most(mark, threshold)
             n = run_lengths(band)
             at = np.flatnonzero(n <= 48)
             for d in range(1, 49):
@@ -207,7 +213,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
                 at = at[band[at] == band[at + d]]
                 if not len(at):
                     break
-                ok = at[passes(bits[at], bits[at + d], most[at], most[at + d], mark[at], mark[at + d])[0]]
+                ok = at[_passes(bits[at], bits[at + d], most[at], most[at + d], mark[at], mark[at + d])[0]]
                 if len(ok):
                     yield id_[ok], id_[ok + d]
             begin = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
@@ -215,7 +221,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
                 end = first + n[first]
                 for r in range(first, end, step := max(1, 200_000 // n[first])):
                     x, y = slice(r, min(r + step, end)), slice(r, end)
-                    i, j = passes(bits[x, None], bits[None, y], most[x, None], most[None, y], mark[x, None], mark[None, y])
+                    i, j = _passes(bits[x, None], bits[None, y], most[x, None], most[None, y], mark[x, None], mark[None, y])
                     ok = i < j
                     if ok.any():
                         yield id_[r + i[ok]], id_[r + j[ok]]
@@ -318,7 +324,7 @@ def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, h
     return links.unionByName(_hot_links(many, nodes, links, threshold, box)).distinct()
 
 
-def _hot_links(many: DataFrame, nodes: DataFrame, links: DataFrame, threshold: float, box: Scratch, salts: int = 64) -> DataFrame:
+def _hot_links(many: DataFrame, nodes: DataFrame, links: DataFrame, threshold: float, box: Scratch, block: int = 8000) -> DataFrame:
     first = many.groupBy("band").agg(F.min_by(F.struct("id", "bits", "mark"), "id").alias("h")).select("band", "h.*")
     x, y = many.alias("x"), first.alias("y")
     star = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") != F.col("y.id")) & _may_reach("x", "y", threshold)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
@@ -326,9 +332,29 @@ def _hot_links(many: DataFrame, nodes: DataFrame, links: DataFrame, threshold: f
     comp = connected_components(links.unionByName(star), "a", "b", box=box).select(F.col("vertex").alias("id"), "component")
     labelled = box.save(many.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
     largest = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("band").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
-    labelled = labelled.join(largest, "band").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    others = labelled.where(F.col("component") != F.col("main")).drop("salt").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    x, y = others.alias("x"), labelled.alias("y")
-    cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.component") != F.col("y.component")) & _may_reach("x", "y", threshold))
-    cross = cross.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    return star.unionByName(_verified(cross, nodes, threshold))
+    labelled = labelled.join(largest, "band").withColumn("other", F.col("component") != F.col("main"))
+    sizes = labelled.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("all_blocks"), F.ceil(F.count_if("other") / block).cast("int").alias("other_blocks")).where(F.col("other_blocks") > 0)
+    placed = labelled.join(sizes, "band").select("band", "id", "bits", "mark", "component", "other", "all_blocks", "other_blocks")
+    at = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = placed.where("other").select("*", at(F.col("other_blocks")).alias("i"), F.lit(True).alias("left")).withColumn("j", each("all_blocks"))
+    y = placed.select("*", at(F.col("all_blocks")).alias("j"), F.lit(False).alias("left")).withColumn("i", each("other_blocks"))
+    cols = ["band", "i", "j", "left", "id", "bits", "mark", "component"]
+
+    def cross(p):
+        x, y = p[p["left"]], p[~p["left"]]
+        out = []
+        if len(x) and len(y):
+            ids, bits, mark, comp = (np.ascontiguousarray(y[c].to_numpy()) for c in ("id", "bits", "mark", "component"))
+            bits, most = bits.view(np.uint64), _most(mark, threshold)
+            for k in range(0, len(x), step := max(1, 200_000 // len(y))):
+                q = x.iloc[k : k + step]
+                m = q["mark"].to_numpy()
+                i, j = _passes(np.ascontiguousarray(q["bits"].to_numpy()).view(np.uint64)[:, None], bits[None], _most(m, threshold)[:, None], most[None], m[:, None], mark[None])
+                ok = q["component"].to_numpy()[i] != comp[j]
+                out.append(np.stack([q["id"].to_numpy()[i[ok]], ids[j[ok]]]))
+        both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return pd.DataFrame({"a": both.min(axis=0), "b": both.max(axis=0)}) if both.size else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+
+    pairs = x.select(*cols).unionByName(y.select(*cols)).groupBy("band", "i", "j").applyInPandas(cross, "a long, b long")
+    return star.unionByName(_verified(box.save(pairs.distinct(), "cross"), nodes, threshold))
