@@ -1,4 +1,4 @@
-"""The problems' queries over the tables of one folder. No SQL is given for those whose result SQL can't state."""
+"""The problems' queries over the tables of one folder."""
 
 from __future__ import annotations
 
@@ -255,4 +255,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from kolam.llm.oracles import ORACLES
+
+    return ORACLES
