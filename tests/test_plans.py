@@ -149,3 +149,30 @@ def test_queries_equal_their_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0 and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_command_line(spark, tmp_path):
+    from kolam.cli import main, parser
+
+    (tmp_path / "w.csv").write_text("Domain,Category,Word\nA,B,kettle\nA,B,\n", encoding="utf-8")
+    (tmp_path / "c.yaml").write_text("generation:\n  max_generation_rounds: 1\n", encoding="utf-8")
+    main(["generate", str(tmp_path / "out"), str(tmp_path / "w.csv"), "--config", str(tmp_path / "c.yaml")], spark, {"generator": generator()[0], "judge": judge()})
+    got = spark.read.csv(str(tmp_path / "out" / "final_sentences"), header=True).collect()
+    assert len(got) >= 3 and {r["word"] for r in got} == {"kettle"} and {r["row_id"] for r in got} == {"1"}
+    assert parser().parse_args(["translate", "f", "i", "--limit", "5"]).limit == 5
+    with pytest.raises(ValueError):
+        main(["generate", str(tmp_path / "out2"), str(tmp_path / "w.csv")], spark)
+
+
+def test_shared_folder_needs_its_setting_on_a_cluster():
+    from types import SimpleNamespace
+
+    from kolam.scratch import shared_folder
+
+    def session(master, named=None):
+        conf = SimpleNamespace(get=lambda *a: named)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getConf=lambda: conf, master=master, applicationId="x"))
+
+    assert shared_folder(session("spark://a", "hdfs://b/c/")) == "hdfs://b/c"
+    with pytest.raises(ValueError):
+        shared_folder(session("spark://a"))
