@@ -256,6 +256,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
                 yield batch(None, None, held)
                 held = [h[:0] for h in held]
         yield from (batch(np.minimum(*p), np.maximum(*p)) for p in settled(held, pairs))
+        yield from (batch(None, None, p) for p in hot_of(held))  # what was held back may have whole hot bands
 
     def run_lengths(band):
         """For each row of a sorted column, how many rows have its value."""

@@ -17,7 +17,7 @@ from kolam.llm.history import history_table, repeats_of_history
 from kolam.llm.languages import Automaton, Languages, fit_languages, label_language, language_segments, sentences
 from kolam.llm.lookalikes import same_look, same_look_column
 from kolam.llm.mixing import mix_sources, water_filling
-from kolam.llm.neardup import dart_signatures, near_duplicate_groups
+from kolam.llm.neardup import band_pairs, band_rows, dart_signatures, near_duplicate_groups
 from kolam.llm.packing import best_fit_runs, pack
 from kolam.llm.ranking import first_places, rank_walk
 from kolam.llm.sampling import pivotal, proportional_sample, target_report, whole_numbers
@@ -103,6 +103,47 @@ def test_groups_equal_brute_force(spark, hot):
     assert {frozenset(g) for g in groups.values()} == expected
 
 
+@pytest.fixture
+def one_task_of_small_batches(spark):
+    names = {"spark.sql.shuffle.partitions": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "100"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def brute_bands(rows, hot):
+    """The pairs of the bands of at most hot rows, and the (band, id) of the others; for rows that all pass the filter."""
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["band"]].append(r["id"])
+    pairs = {(min(x, y), max(x, y)) for ids in by.values() if len(ids) <= hot for n, x in enumerate(ids) for y in ids[:n]}
+    return pairs, sorted((b, i) for b, ids in by.items() if len(ids) > hot for i in ids)
+
+
+def found_bands(rows, hot):
+    got = band_pairs(rows, 0.6, hot).collect()
+    return {(r["a"], r["b"]) for r in got if r["a"] is not None}, sorted((r["band"], r["id"]) for r in got if r["id"] is not None)
+
+
+@pytest.mark.parametrize("offset", [0, 1, 30, 60, 99, 150, 250])
+def test_hot_bands_are_kept_wherever_they_lie(spark, one_task_of_small_batches, offset):
+    bands = [n // 3 for n in range(offset)] + [1000] * 250 + [1001] * 199 + [1002] * 201 + [1003] * 2
+    made = spark.createDataFrame([(b, i, 0, 12 << 40) for i, b in enumerate(bands)], "band long, id long, bits long, mark long")
+    assert found_bands(made, 200) == brute_bands(made.collect(), 200)
+
+
+def test_hot_bands_of_signatures_are_kept(spark, one_task_of_small_batches):
+    base = list(range(100, 140))
+    sets = [sorted(base[:i % 7] + base[i % 7 + 1:] + [1000 + i]) for i in range(260)] + [list(range(5000 + 40 * i, 5040 + 40 * i)) for i in range(40)]
+    nodes = spark.createDataFrame(list(enumerate(sets)), "id long, words array<int>")
+    made = band_rows(nodes, (np.zeros(0, np.int64), np.zeros(0)), 3, 30)
+    pairs, hot = brute_bands(made.collect(), 30)
+    assert hot and found_bands(made, 30) == (pairs, hot)
+
+
 def test_groups_of_nothing(spark):
     empty = spark.createDataFrame([], "i int, words array<int>")
     assert rows(near_duplicate_groups(empty)) == []
