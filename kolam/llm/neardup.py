@@ -6,6 +6,9 @@ with the weighted Jaccard similarity of the texts. Rare words weigh 1, words of
 a signature seldom join texts that only share common words. Bands meet in a sort-merge join; pairs of one band that differ in too
 many of 64 parity bits can't reach the threshold and end in the join; the others are compared exactly, as sets of words.
 
+Weights and threshold don't agree, and bands meet by chance, so an exact route follows: two sets that reach the threshold share one of
+the first words of each, rarest first (prefix_rows); those buckets' pairs pass the same filter and comparison.
+
 Equal word sets are one node from the start. A band shared by more than `hot` nodes (thousands of different texts that resemble each
 other) isn't expanded into all its pairs: each node meets the band's first node, then only nodes of components other than the band's
 largest meet the rest. That finds every group all its pairs would.
@@ -111,8 +114,8 @@ def _poisson(mean: float) -> np.ndarray:
     return _cdf[mean]
 
 
-def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted word hashes, weights) of the words in more than common_from of all sets, counted over every set.
+def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted word hashes, weights, numbers of sets) of the words in more than common_from of all sets, counted over every set.
 
     A set has l words on average, so at most l / common_from words can be that common, however large the input. The weight falls
     from 1 at a share of `rare` with the logarithm of the share, down to `light`. All other words weigh 1.
@@ -121,26 +124,47 @@ def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: flo
     counts = nodes.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common_from * n)
     rows = counts.toPandas().sort_values("w")
     weight = np.clip(np.log(np.maximum(n, 1) / np.maximum(rows["n"].to_numpy(float), 1)) / np.log(1 / rare), light, 1.0)
-    return rows["w"].to_numpy(np.int64), weight
+    return rows["w"].to_numpy(np.int64), weight, rows["n"].to_numpy(np.int64)
+
+
+def _pieces(batches, words_at_once: int = 80_000):
+    """(ids, words one after another, where each set begins and the end), some ten thousand words at a time, so that memory doesn't depend on the batch."""
+    for b in batches:
+        arr = b.column("words")
+        every = arr.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(np.asarray(arr.value_lengths().fill_null(0)))])
+        ids = b.column("id")
+        i = 0
+        while i < len(ends) - 1:
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] + words_at_once, side="right")) - 1)
+            yield ids.slice(i, j - i), every[ends[i] : ends[j]], ends[i : j + 1] - ends[i]
+            i = j
+
+
+def _parities(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, mark) of each set, for _passes."""
+    full, size = np.diff(starts) > 0, np.diff(starts)
+    bits, rest = np.zeros(len(full), np.uint64), np.zeros(len(full), np.uint64)
+    if full.any():
+        kind = (tokens.astype(np.int64) % CLASSES).astype(np.uint64)
+        one = np.uint64(1)
+        low = np.where(kind < 64, one << np.minimum(kind, np.uint64(63)), np.uint64(0))
+        high = np.where(kind >= 64, one << (np.maximum(kind, np.uint64(64)) - np.uint64(64)), np.uint64(0))
+        bits[full] = np.bitwise_xor.reduceat(low, starts[:-1][full])
+        rest[full] = np.bitwise_xor.reduceat(high, starts[:-1][full])
+    mark = (np.minimum(size, MOST_SIZE).astype(np.uint64) << np.uint64(CLASSES - 64)) | rest
+    return bits.view(np.int64), mark.view(np.int64)
 
 
 def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_band: int, bands: int, seed: int = 0) -> DataFrame:
     """(band, id, bits, mark), one row for each node and band. nodes: (id long, words array<int>)."""
     shared = nodes.sparkSession.sparkContext.broadcast(common)
-    k, words_at_once = rows_per_band * bands, 80_000
+    k = rows_per_band * bands
 
     def part(batches):
         hashes, weight = shared.value
-        for b in batches:
-            arr = b.column("words")
-            every = arr.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(np.asarray(arr.value_lengths().fill_null(0)))])
-            ids = b.column("id")
-            i = 0
-            while i < len(ends) - 1:  # some ten thousand words at a time, so that memory doesn't depend on the batch
-                j = max(i + 1, int(np.searchsorted(ends, ends[i] + words_at_once, side="right")) - 1)
-                yield piece(ids.slice(i, j - i), every[ends[i] : ends[j]], ends[i : j + 1] - ends[i], hashes, weight)
-                i = j
+        for p in _pieces(batches):
+            yield piece(*p, hashes, weight)
 
     def piece(ids, tokens, starts, hashes, weight):
         import pyarrow as pa
@@ -154,25 +178,86 @@ def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_
             key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(seed << 20), sig.shape[:2]).copy()
             for i in range(rows_per_band):
                 key = _mix(key ^ (sig[:, :, i] * _M2))
-        full, size = np.diff(starts) > 0, np.diff(starts)
-        bits, rest = np.zeros(len(full), np.uint64), np.zeros(len(full), np.uint64)
-        if full.any():
-            kind = (tokens.astype(np.int64) % CLASSES).astype(np.uint64)
-            one = np.uint64(1)
-            low = np.where(kind < 64, one << np.minimum(kind, np.uint64(63)), np.uint64(0))
-            high = np.where(kind >= 64, one << (np.maximum(kind, np.uint64(64)) - np.uint64(64)), np.uint64(0))
-            bits[full] = np.bitwise_xor.reduceat(low, starts[:-1][full])
-            rest[full] = np.bitwise_xor.reduceat(high, starts[:-1][full])
-        mark = (np.minimum(size, MOST_SIZE).astype(np.uint64) << np.uint64(CLASSES - 64)) | rest
+        bits, mark = _parities(tokens, starts)
         return pa.RecordBatch.from_pydict({
-            "id": ids, "bits": pa.array(bits.view(np.int64)), "mark": pa.array(mark.view(np.int64)),
-            "keys": pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel())),
+            "id": ids, "bits": pa.array(bits), "mark": pa.array(mark),
+            "keys": pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel())),
         })
 
     made = nodes.select("id", "words").mapInArrow(part, "id long, bits long, mark long, keys array<long>")
     return made.select(F.explode("keys").alias("band"), "id", "bits", "mark")
 
 
+def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], threshold: float, crowd: int = 1000, depth: int = 3) -> DataFrame:
+    """(band, id, bits, mark): buckets of which every two sets that reach the threshold share at least one.
+
+    common: (sorted hashes, numbers of sets) of the common words; the order is the rare words first, then these by number. A set of
+    n words shares at least o = threshold * n with any such other, so the d-th word they share is among its first n - o + d. A bucket
+    is a shared first word; those of more than crowd sets are parted by the second shared word too, then by the third. Sets that may
+    share no further word (o < d) meet in a bucket of their own. Per depth, the keys of the crowded buckets, at most 1 in crowd rows,
+    are sent to all tasks.
+    """
+    import pyarrow as pa
+
+    sc = nodes.sparkSession.sparkContext
+    shared = sc.broadcast(common)
+
+    def rows_of(tokens, starts, crowded):
+        """The (set, key) of the buckets that end before the last depth, and of those of the last."""
+        hashes, number = shared.value
+        size = np.diff(starts)
+        owner = np.repeat(np.arange(len(size)), size)
+        often = np.zeros(len(tokens), np.int64)
+        if len(hashes):
+            at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+            often = np.where(hashes[at] == tokens, number[at], 0)
+        word = tokens[np.lexsort((tokens, often, owner))].view(np.uint64)
+        least = np.maximum(np.ceil(threshold * size - 1e-6), 1).astype(np.int64)
+        place = np.arange(len(word)) - starts[owner]
+        use = place <= (size - least)[owner]
+        who, place, key = owner[use], place[use], _mix(word[use])
+        done = []
+        for d, keys in enumerate(crowded, 1):
+            full = np.isin(key, keys)
+            done.append((who[~full], key[~full]))
+            who, place, key = who[full], place[full], key[full]
+            stop = least[who] <= d
+            done.append((who[stop], _mix(~key[stop])))
+            more = np.maximum(np.minimum(size[who] - 1, size[who] - least[who] + d) - place, 0)
+            i = np.repeat(np.arange(len(who)), more)
+            place = place[i] + 1 + np.arange(len(i)) - np.repeat(np.cumsum(more) - more, more)
+            who, key = who[i], key[i]
+            key = _mix((key * _M2) ^ word[starts[who] + place])
+        return done, (who, key)
+
+    def crowds(crowded):
+        known = sc.broadcast(crowded)
+
+        def part(batches):
+            for _, tokens, starts in _pieces(batches):
+                with np.errstate(over="ignore"):
+                    key, n = np.unique(rows_of(tokens, starts, known.value)[1][1], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+        full = nodes.select("id", "words").mapInArrow(part, "band long, n long").groupBy("band").agg(F.sum("n").alias("n")).where(F.col("n") > crowd)
+        return full.select("band").toPandas()["band"].to_numpy(np.int64).view(np.uint64)
+
+    crowded = []
+    while len(crowded) < depth - 1 and len(keys := crowds(crowded)):
+        crowded.append(keys)
+    known = sc.broadcast(crowded)
+
+    def part(batches):
+        for ids, tokens, starts in _pieces(batches):
+            with np.errstate(over="ignore"):
+                done, last = rows_of(tokens, starts, known.value)
+            who, key = (np.concatenate(x) for x in zip(*done, last))
+            bits, mark = _parities(tokens, starts)
+            yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "id": ids.take(pa.array(who)), "bits": pa.array(bits[who]), "mark": pa.array(mark[who])})
+
+    return nodes.select("id", "words").mapInArrow(part, "band long, id long, bits long, mark long")
+
+
 def _passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y):
     """Where the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
     odd = np.bitwise_count(bits_x ^ bits_y)
@@ -280,13 +365,13 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
     return rows.repartition("band").sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
 
 
-def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None) -> DataFrame:
+def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None, crowd: int = 1000) -> DataFrame:
     """One row per text: all columns of texts but words, and group. Texts are in one group if their word sets reach the threshold,
     or if other texts link them; a text alone is a group of its own.
 
     texts: needs a column words (word_set); rows with null words take no part and give no row, repeated rows stay; a column named group is replaced. A group's number
-    is the least of its sets' ids, so equal inputs give equal numbers. No texts give no rows. A link is found if the two texts share
-    a band: with the default 3 x 30, at a weighted similarity of 0.6 in 99.9 of 100 cases, at 0.5 in 98; then it is checked exactly.
+    is the least of its sets' ids, so equal inputs give equal numbers. No texts give no rows. Bands find most links, and those of
+    thousands of texts that resemble each other; prefix_rows has the pairs they miss, so that no pair at the threshold stays apart.
     """
     spark = texts.sparkSession
     own = box is None
@@ -294,7 +379,7 @@ def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_ban
     docs = box.save(texts.where(F.col("words").isNotNull()).withColumn("_id", set_id("words")), "texts")
     box.release_shuffles()
     nodes = box.save(docs.groupBy("_id").agg(F.first("words").alias("words")).select(F.col("_id").alias("id"), "words"), "nodes")
-    links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box), "links")
+    links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box, crowd), "links")
     comp = connected_components(links, "a", "b", box=box)
     if own:
         box.keep_only(docs, comp)
@@ -314,16 +399,32 @@ def _may_reach(x: str, y: str, threshold: float):
     return (odd <= most_difference(size(x), size(y), threshold)) | (F.greatest(size(x), size(y)) >= MOST_SIZE)
 
 
-def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch) -> DataFrame:
-    common = common_word_weights(nodes)
+def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch, crowd: int) -> DataFrame:
+    hashes, weights, numbers = common_word_weights(nodes)
     box.release_shuffles()
-    found = box.save(band_pairs(band_rows(nodes, common, rows_per_band, bands), threshold, hot), "candidates")
+    links = _links_of(band_rows(nodes, (hashes, weights), rows_per_band, bands), None, nodes, threshold, hot, box)
+    rest = prefix_rows(nodes, (hashes, numbers), threshold, crowd)
+    box.release_shuffles()  # those of the bands, before the next are written
+    return _links_of(rest, links, nodes, threshold, crowd, box)
+
+
+def _links_of(rows: DataFrame, known: DataFrame | None, nodes: DataFrame, threshold: float, hot: int, box: Scratch) -> DataFrame:
+    """The links among the sets of each band, and the known ones; of bands of more than hot sets as many as join the same sets."""
+    found = box.save(band_pairs(rows, threshold, hot), "candidates")
     box.release_shuffles()
-    links = box.save(_verified(found.where(F.col("a").isNotNull()), nodes, threshold), "pairs")
+    pairs = found.where(F.col("a").isNotNull()).select("a", "b")
+    if known is not None:
+        pairs = pairs.join(known, ["a", "b"], "left_anti")
+    links = box.save(_verified(pairs, nodes, threshold), "pairs")
+    if known is not None:
+        links = links.unionByName(known)
     many = found.where(F.col("id").isNotNull()).select("id", "band", "bits", "mark")
     if many.isEmpty():
+        box.drop(found)
         return links
-    return links.unionByName(_hot_links(many, nodes, links, threshold, box)).distinct()
+    links = box.save(links.unionByName(_hot_links(many, nodes, links, threshold, box)).distinct(), "links")
+    box.drop(found)
+    return links
 
 
 def _hot_links(many: DataFrame, nodes: DataFrame, links: DataFrame, threshold: float, box: Scratch, block: int = 8000) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and its edge cases: nulls, empty and long texts, ties, repeats, empty tables."""
 
 import collections
+import itertools
 import math
 import random
 
@@ -144,6 +145,33 @@ def test_hot_bands_of_signatures_are_kept(spark, one_task_of_small_batches):
     assert hot and found_bands(made, 30) == (pairs, hot)
 
 
+def groups_by_number(df, **how):
+    groups = collections.defaultdict(set)
+    for r in near_duplicate_groups(df.withColumn("words", word_set("text")), **how).select("i", "group").collect():
+        groups[r["group"]].add(r["i"])
+    return {frozenset(g) for g in groups.values()}
+
+
+@pytest.mark.parametrize("crowd", [1000, 4])
+def test_pairs_of_common_words_are_found(spark, crowd):
+    rng = random.Random(6)
+    chosen = rng.sample(list(itertools.combinations([f"c{i}" for i in range(12)], 6)), 200)
+    texts = [" ".join([*six, f"x{i}a{k}", f"x{i}b{k}"]) for i, six in enumerate(chosen) for k in range(2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    expected = brute_groups(texts, 0.6)
+    assert len(expected) == 200
+    assert groups_by_number(df, crowd=crowd) == expected
+
+
+@pytest.mark.parametrize("crowd", [1000, 3])
+def test_groups_do_not_rest_on_bands(spark, crowd):
+    rng = random.Random(7)
+    short = [" ".join(f"w{rng.randrange(12)}" for _ in range(rng.randint(1, 5))) for _ in range(120)]
+    texts = edited_texts(300, 5, words=120) + short
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    assert groups_by_number(df, rows_per_band=20, bands=1, crowd=crowd) == brute_groups(texts, 0.6)
+
+
 def test_groups_of_nothing(spark):
     empty = spark.createDataFrame([], "i int, words array<int>")
     assert rows(near_duplicate_groups(empty)) == []
