@@ -1,7 +1,7 @@
 """The generation pipeline: words -> sentences -> gates -> judged -> accepted, in rounds, and its replay from stored responses.
 
 Responses come from a provider as a table that is written once; everything behind it is a plan over tables. State is a snapshot per
-phase, so a run that is stopped goes on after the last phase that was completely written, and no response is asked for twice.
+phase, so a run that is stopped goes on after the last phase that was completely written; of the phase it was stopped in, the responses are asked for again.
 """
 
 from __future__ import annotations
