@@ -269,6 +269,40 @@ def test_ranking_ignores_scales(spark):
     assert len(top) == 50 and top == set(sorted(use, key=lambda i: (-got[i], i))[:50])
 
 
+def exact_walk(x, damping=0.85):
+    """The chain's stationarity by prefix sums over every distinct value, in plain numpy."""
+    n, s = x.shape
+    place, above = [], []
+    for i in range(s):
+        _, inverse, count = np.unique(x[:, i], return_inverse=True, return_counts=True)
+        place.append(inverse)
+        above.append(np.cumsum(count[::-1])[::-1])
+    mass = np.full(n, 1 / n)
+    for _ in range(300):
+        mass = (1 - damping) / n + damping / s * sum(np.cumsum(np.bincount(p, mass) / a)[p] for p, a in zip(place, above))
+    return mass
+
+
+@pytest.mark.parametrize("table_values", [1_000_000, 0])
+def test_every_rank_is_that_of_the_exact_walk(spark, table_values):
+    rng = np.random.default_rng(8)
+    n = 3000
+    quality = rng.random(n)
+    data = pd.DataFrame({"id": np.arange(n), "a": quality + rng.random(n), "b": np.round(quality * 7), "c": np.where(rng.random(n) < 0.4, 0.0, -rng.random(n))})
+    got = rank_walk(spark.createDataFrame(data), ["a", "b", "c"], "id", table_values=table_values, tolerance=1e-10 if table_values else 1e-7).toPandas().set_index("id")["stationarity"]
+    true = exact_walk(data[["a", "b", "c"]].to_numpy())
+    assert np.abs(got.reindex(range(n)).to_numpy() / true - 1).max() < (1e-8 if table_values else 1e-5)
+    if table_values:
+        assert (np.argsort(got.reindex(range(n)).to_numpy(), kind="stable") == np.argsort(true, kind="stable")).all()
+
+
+def test_a_walk_that_does_not_converge_says_so(spark):
+    items = spark.createDataFrame([(i, float(i), float(-i * i % 7)) for i in range(20)], "id int, a double, b double")
+    for table_values in (1_000_000, 0):
+        with pytest.raises(RuntimeError):
+            rank_walk(items, ["a", "b"], "id", max_rounds=1, table_values=table_values)
+
+
 def test_ranking_of_equals_and_of_nothing(spark):
     same = spark.createDataFrame([(i, 1.0, 2.0) for i in range(10)], "id int, a double, b double")
     ranked = rank_walk(same, ["a", "b"], "id")
