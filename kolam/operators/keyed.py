@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kolam.scratch import Scratch
+from kolam.scratch import Scratch, local_table
 
 
 def _list(x) -> list[str]:
@@ -59,23 +59,21 @@ def matched(answers: DataFrame, asked: DataFrame, key, order) -> DataFrame:
     return last_wins(answers, key, order).join(asked, _list(key))
 
 
-def global_positions(df: DataFrame, order, column: str = "pos") -> DataFrame:
+def global_positions(df: DataFrame, order, column: str = "pos", box: Scratch | None = None) -> DataFrame:
     """df with its position from 0 in the order, over the whole table, without bringing it into one partition.
 
     The rows are range-sorted and saved; each partition then counts from the number of rows before it. Only one count per partition
-    goes to the driver.
+    goes to the driver and back, as a table of one row per partition.
     """
-    box = Scratch(df.sparkSession, "positions")
+    spark = df.sparkSession
+    box = box or Scratch(spark, "positions")
     sorted_ = box.save(df.repartitionByRange(*[F.col(c) for c in _list(order)]).sortWithinPartitions(*_list(order)).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "sorted")
-    counts = {r["_part"]: r["n"] for r in sorted_.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, base = 0, {}
-    for p in sorted(counts):
-        base[p] = before
-        before += counts[p]
-    if not base:
-        return sorted_.withColumn(column, F.col("_at")).drop("_part", "_at")
-    offset = F.create_map(*[F.lit(x).cast("long") for kv in base.items() for x in kv])[F.col("_part").cast("long")]
-    return sorted_.withColumn(column, F.col("_at") + offset).drop("_part", "_at")
+    before, base = 0, []
+    for r in sorted_.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():
+        base.append((r["_part"], before))
+        before += r["n"]
+    offset = local_table(spark, base, "_part int, _off long")
+    return sorted_.join(F.broadcast(offset), "_part").withColumn(column, F.col("_at") + F.col("_off")).drop("_part", "_at", "_off")
 
 
 def chunks(df: DataFrame, order, size: int, per_job: int | None = None) -> DataFrame:
@@ -86,9 +84,9 @@ def chunks(df: DataFrame, order, size: int, per_job: int | None = None) -> DataF
     return out.withColumn("job_id", F.expr(f"chunk_id div {per_job}")) if per_job else out
 
 
-def positions_in_key(df: DataFrame, key: str, order, column: str = "n") -> DataFrame:
+def positions_in_key(df: DataFrame, key: str, order, column: str = "n", box: Scratch | None = None) -> DataFrame:
     """df with each row's position from 1 within its key. Keys are range-sorted with the rows, so one key may span partitions."""
-    at = global_positions(df, [key, *_list(order)], "_pos")
+    at = global_positions(df, [key, *_list(order)], "_pos", box)
     first = at.groupBy(key).agg(F.min("_pos").alias("_first")).withColumnRenamed(key, "_key")
     return at.join(first, at[key].eqNullSafe(F.col("_key"))).withColumn(column, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first", "_key")
 

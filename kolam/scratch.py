@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -10,6 +12,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_written: dict[str, set[str]] = {}  # folders by application, for clear()
+#: Deletes the shuffle files of a plan when its write has ended; what was written doesn't need them any more.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOT = str(Path(__file__).resolve().parents[1])
 
 
@@ -35,14 +40,24 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="kolam-")
+        made = tempfile.mkdtemp(prefix="kolam-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _own[app] = "file://" + made
     return _own[app]
 
 
+def clear(spark: SparkSession) -> None:
+    """Deletes every intermediate table this application has written, once the results that read them are stored."""
+    for path in _written.pop(spark.sparkContext.applicationId, set()):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class Scratch:
     """A folder of intermediate Parquet tables of one operator call.
 
-    save() writes a table and returns a reader of it, so that what follows starts from files and survives lost executors.
+    save() writes a table and returns a reader of it, so that what follows starts from files and survives lost executors. The
+    shuffle files behind it are deleted when it is written.
     drop() deletes tables that no later plan reads; what a returned DataFrame still reads stays.
     """
 
@@ -50,13 +65,19 @@ class Scratch:
         ensure_importable(spark)
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        _written.setdefault(spark.sparkContext.applicationId, set()).add(self.path)
         self._n = 0
         self._paths: set[str] = set()
 
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         self._n += 1
         path = f"{self.path}/{self._n:03d}-{name}"
-        df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         self._paths.add(path)
@@ -78,13 +99,6 @@ class Scratch:
             where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
-    def release_shuffles(self) -> None:
-        """Lets Spark's cleaner delete the shuffle files of plans that are already written out and no longer referenced."""
-        import gc
-
-        gc.collect()
-        self.spark._jvm.System.gc()
-
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table of driver rows as a local relation, which needs no Python worker when it is read."""
