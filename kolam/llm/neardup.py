@@ -377,7 +377,6 @@ def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_ban
     own = box is None
     box = box or Scratch(spark, "neardup")
     docs = box.save(texts.where(F.col("words").isNotNull()).withColumn("_id", set_id("words")), "texts")
-    box.release_shuffles()
     nodes = box.save(docs.groupBy("_id").agg(F.first("words").alias("words")).select(F.col("_id").alias("id"), "words"), "nodes")
     links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box, crowd), "links")
     comp = connected_components(links, "a", "b", box=box)
@@ -401,17 +400,14 @@ def _may_reach(x: str, y: str, threshold: float):
 
 def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch, crowd: int) -> DataFrame:
     hashes, weights, numbers = common_word_weights(nodes)
-    box.release_shuffles()
     links = _links_of(band_rows(nodes, (hashes, weights), rows_per_band, bands), None, nodes, threshold, hot, box)
     rest = prefix_rows(nodes, (hashes, numbers), threshold, crowd)
-    box.release_shuffles()  # those of the bands, before the next are written
     return _links_of(rest, links, nodes, threshold, crowd, box)
 
 
 def _links_of(rows: DataFrame, known: DataFrame | None, nodes: DataFrame, threshold: float, hot: int, box: Scratch) -> DataFrame:
     """The links among the sets of each band, and the known ones; of bands of more than hot sets as many as join the same sets."""
     found = box.save(band_pairs(rows, threshold, hot), "candidates")
-    box.release_shuffles()
     pairs = found.where(F.col("a").isNotNull()).select("a", "b")
     if known is not None:
         pairs = pairs.join(known, ["a", "b"], "left_anti")

@@ -177,11 +177,20 @@ def _units(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_repeats(spark: SparkSession, d: str) -> DataFrame:
-    from kolam.llm.history import history_table, repeats_of_history
+    """Unit by unit: each is checked against the table of the units before it, then its own rows are appended."""
+    from kolam.llm.history import PivotHistory
 
     box = Scratch(spark, "p7")
     rows = box.save(_units(spark, d), "units")
-    return repeats_of_history(rows, history_table(rows, "row_id", "batch_no", F.col("complete")), "row_id", "batch_no", box=box)
+    history = PivotHistory(spark, f"{box.path}/history", buckets=16)
+    found = None
+    for r in rows.where(F.col("batch_no").isNotNull()).groupBy("batch_no").agg(F.count_if("complete").alias("n")).orderBy("batch_no").collect():  # a row per unit
+        unit = rows.where(F.col("batch_no") == r["batch_no"])
+        repeats = box.save(history.repeats(unit, "row_id", "batch_no", box=box), "repeats")
+        found = repeats if found is None else found.unionByName(repeats)
+        if r["n"]:
+            history.append(unit, "row_id", "batch_no", F.col("complete"))
+    return found if found is not None else rows.withColumn("first_unit", F.col("batch_no")).drop("words")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from kolam.llm.components import connected_components, split_whole_components
 from kolam.llm.cutoffs import keep_fraction_cutoffs
-from kolam.llm.history import history_table, repeats_of_history
+from kolam.llm.history import PivotHistory, history_table, repeats_of_history
 from kolam.llm.languages import Automaton, Languages, fit_languages, label_language, language_segments, sentences
 from kolam.llm.lookalikes import same_look, same_look_column
 from kolam.llm.mixing import mix_sources, water_filling
 from kolam.llm.neardup import band_pairs, band_rows, dart_signatures, near_duplicate_groups
-from kolam.llm.packing import best_fit_runs, pack
+from kolam.llm.packing import GAP, ITEM, bracket_pairs, pack, successor_sweep
 from kolam.llm.ranking import first_places, rank_walk
 from kolam.llm.sampling import pivotal, proportional_sample, target_report, whole_numbers
 from kolam.llm.tokens import token_count
@@ -415,35 +415,108 @@ def test_history_of_nothing(spark):
     assert rows(repeats_of_history(df.limit(0), history_table(df, "key", "unit", F.col("ok")), "key", "unit")) == []
 
 
+def test_stored_history_reads_only_the_buckets_of_a_unit(spark, tmp_path):
+    words = lambda df: df.withColumn("words", word_set("text")).withColumn("ok", F.lit(True))
+    texts = edited_texts(300, 13, words=200)
+    df = words(spark.createDataFrame([(i, i // 10, 0, t) for i, t in enumerate(texts)], "id int, key int, unit int, text string"))
+    h = PivotHistory(spark, str(tmp_path / "h"), buckets=32)
+    new = words(spark.createDataFrame([(1000 + i, 4, 9, texts[40 + i] + " x") for i in range(5)], "id int, key int, unit int, text string"))
+    assert h.rows() is None and rows(h.repeats(new, "key", "unit")) == []
+    h.append(df, "key", "unit", F.col("ok"))
+    read, found = h.rows(new, "key"), {r["id"] for r in h.repeats(new, "key", "unit").collect()}
+    n, bucket = read.count(), [r[0] for r in read.select("bucket").distinct().collect()]
+    assert len(bucket) == 1 and 0 < n < 100 and found == {1000 + i for i in range(5)}
+    plan = read._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    for k in range(3):  # history grows by other keys
+        other = df.withColumn("key", F.col("key") + 100 * (k + 1))
+        h.append(other.where(F.pmod(F.xxhash64("key"), F.lit(32)) != bucket[0]), "key", "unit", F.col("ok"))
+    assert h.rows().count() > 3 * n and h.rows(new, "key").count() == n
+    assert {r["id"] for r in h.repeats(new, "key", "unit").collect()} == found
+    h.append(df, "key", "unit", F.col("ok"))  # the same unit once more, as after a lost job
+    assert {r["id"] for r in h.repeats(new, "key", "unit").collect()} == found
+
+
+def test_history_of_long_texts(spark):
+    base = [f"w{i}" for i in range(3000)]
+    data = [(0, 1, 0, " ".join(base)), (1, 1, 1, " ".join(base[600:] + ["y"])), (2, 1, 1, " ".join(base[1500:])), (3, 1, 1, "w1"), (4, 2, 0, "w1"), (5, 1, 2, "w1 w1")]
+    df = spark.createDataFrame(data, "id int, key int, unit int, text string").withColumn("words", word_set("text"))
+    got = {r["id"] for r in repeats_of_history(df, history_table(df, "key", "unit", F.lit(True)), "key", "unit").collect()}
+    assert got == {1, 5}
+
+
 # 8
-def test_packing_places_everything_once(spark):
-    rng = random.Random(9)
-    sizes = [rng.choice([1, 3, 50, 97, 100, 101, 250, 300, 40, 33]) for _ in range(3000)] + [0, None, -4]
-    df = spark.createDataFrame([(i, s, 1) for i, s in enumerate(sizes)], "id int, size int, piece int")
-    got = pack(df, "id", "size", 100).collect()
+def packed(items, capacity, **how):
+    got = pack(items, "id", "size", capacity, **how).collect()
     of = collections.defaultdict(list)
     fill = collections.Counter()
     for r in got:
-        of[r["id"]].append(r["size"])
+        of[r["id"]].append((r["piece"], r["size"]))
         fill[r["container"]] += r["size"]
-    assert all(sum(of[i]) == s for i, s in enumerate(sizes) if s and s > 0) and max(fill.values()) <= 100
-    assert all(len(of[i]) == -(-s // 100) for i, s in enumerate(sizes) if s and s > 0)
-    assert set(fill) == set(range(len(fill)))
+    assert max(fill.values(), default=0) <= capacity and set(fill) == set(range(len(fill)))
+    return {k: sorted(v) for k, v in of.items()}, fill
+
+
+@pytest.mark.parametrize("runs_per_task", [50_000, 4])
+def test_packing_places_everything_once(spark, runs_per_task):
+    rng = random.Random(9)
+    sizes = [rng.choice([1, 3, 50, 97, 100, 101, 250, 300, 40, 33]) for _ in range(3000)] + [0, None, -4]
+    df = spark.createDataFrame([(i, s, 1) for i, s in enumerate(sizes)], "id int, size int, piece int")
+    of, fill = packed(df, 100, runs_per_task=runs_per_task)
+    assert all([z for _, z in of[i]] == [100] * (s // 100) + [s % 100] * (s % 100 > 0) for i, s in enumerate(sizes) if s and s > 0)
+    assert all([p for p, _ in of[i]] == list(range(len(of[i]))) for i in of) and len(of) == 3000
     assert len(fill) <= -(-sum(s for s in sizes if s and s > 0) // 100) * 1.03 + 1
-    assert rows(pack(df.limit(0), "id", "size", 100)) == []
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
-def test_best_fit_runs(sizes):
-    runs, used = best_fit_runs(sizes, 64)
-    fill, placed = collections.Counter(), collections.Counter()
-    for size, rank, count, first in runs:
-        for k in range(count):
-            fill[first + k] += size
-            placed[(size, rank + k)] += 1
-    assert set(placed) == {(s, k) for s, n in sizes.items() for k in range(n)} and set(placed.values()) <= {1}
-    assert all(v <= 64 for v in fill.values()) and set(fill) == set(range(used))
+@pytest.mark.parametrize("runs_per_task", [50_000, 60])
+def test_packing_of_many_sizes(spark, runs_per_task):
+    """Sizes that hardly repeat, so that runs are single items and most matches cross partitions."""
+    rng = random.Random(10)
+    sizes = [int(100_000 * rng.random() ** 3) + 1 for _ in range(400)]
+    of, fill = packed(spark.createDataFrame(list(enumerate(sizes)), "id int, size int"), 100_000, runs_per_task=runs_per_task)
+    assert {k: v[0][1] for k, v in of.items()} == dict(enumerate(sizes))
+    assert len(fill) <= -(-sum(sizes) // 100_000) * 1.06 + 1
+
+
+def test_packing_of_nothing(spark):
+    df = spark.createDataFrame([(1, 0), (2, None)], "id int, size int")
+    assert rows(pack(df, "id", "size", 100)) == []
+    of, fill = packed(spark.createDataFrame([(None, 5), (None, 5), (3, 250)], "id int, size int"), 100)
+    assert of[None] == [(0, 5), (0, 5)] and of[3] == [(0, 100), (1, 100), (2, 50)] and len(fill) == 3
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(0, 1), st.integers(1, 4)), max_size=25))
+def test_successor_sweep(given_runs):
+    runs, at = [], {ITEM: collections.Counter(), GAP: 0}
+    for size, kind, n in sorted(given_runs):
+        runs.append((size, kind, at[ITEM][size] if kind == ITEM else at[GAP], n))
+        if kind == ITEM:
+            at[ITEM][size] += n
+        else:
+            at[GAP] += n
+    matches, items, gaps = successor_sweep(runs)
+    used, homes = collections.Counter(), collections.Counter()
+    for s, f, gap, home, n, each in matches:
+        assert s * each <= gap
+        used.update((s, f + k) for k in range(n * each))
+        homes.update(home + k for k in range(n))
+    left = [(s, f + k) for s, f, n in items for k in range(n)]
+    assert max(used.values(), default=1) == 1 and max(homes.values(), default=1) == 1
+    assert sorted([*used, *left]) == sorted((s, k) for s, n in at[ITEM].items() for k in range(n))
+    free = sorted(g for g, f, n in gaps for _ in range(n))
+    assert not free or all(s > free[-1] for s, _ in left)  # no gap is left that would take an item
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=8))
+def test_bracket_pairs(counts):
+    pairs = bracket_pairs([(p, g, i) for p, (g, i) in enumerate(counts)])
+    stack, expected = [], set()
+    for p, (g, i) in enumerate(counts):
+        expected |= {(*stack.pop(), p, k) for k in range(g) if stack}
+        stack += [(p, k) for k in range(i)]
+    assert {(a, x + n - 1 - k, b, y + k) for a, x, b, y, n in pairs for k in range(n)} == expected
 
 
 def test_token_count(spark):
