@@ -161,11 +161,14 @@ def p6_forms(spark: SparkSession, d: str) -> DataFrame:
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     looks = _looks(spark, d).select("field_name", "sentence_id", F.xxhash64("value").alias("value"), F.xxhash64("form").alias("form"))
     looks = Scratch(spark, "p6").save(looks, "looks")
-    varied = looks.groupBy("field_name", "form").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).where(F.col("lo") != F.col("hi")).select("field_name", "form")
-    m = looks.join(varied, ["field_name", "form"])
-    a, b = m.alias("a"), m.alias("b")
-    on = (F.col("a.field_name") == F.col("b.field_name")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.value") != F.col("b.value")) & (F.col("a.sentence_id") < F.col("b.sentence_id"))
-    return a.join(b, on).select("a.field_name", F.col("a.sentence_id").alias("id_a"), F.col("b.sentence_id").alias("id_b")).distinct()
+    # Pairs are made of distinct values, of which a form has few, and only then of the rows that hold them.
+    values = looks.select("field_name", "form", "value").distinct()
+    a, b = values.alias("a"), values.alias("b")
+    on = (F.col("a.field_name") == F.col("b.field_name")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.value") < F.col("b.value"))
+    pairs = Scratch(spark, "p6").save(a.join(b, on).select("a.field_name", F.col("a.value").alias("x"), F.col("b.value").alias("y")), "pairs")
+    held = looks.select("field_name", "value", "sentence_id")
+    first = pairs.join(held.withColumnsRenamed({"value": "x", "sentence_id": "i"}), ["field_name", "x"]).join(held.withColumnsRenamed({"value": "y", "sentence_id": "j"}), ["field_name", "y"])
+    return first.select("field_name", F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b")).distinct()
 
 
 # 7

@@ -11,11 +11,11 @@ from functools import lru_cache
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from kolam.llm.lookalikes import same_look
+from kolam.llm.lookalikes import look_alikes
 
 
 @lru_cache(1 << 16)
@@ -60,14 +60,18 @@ def _plain_set(texts: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else hashed_words(t) for t in texts], dtype=object)
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def _look_set(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else hashed_words(same_look(t)) for t in texts], dtype=object)
+def word_set(c, same_form: bool = False) -> Column:
+    """hashed_words as array<int>, null for null; with same_form of the text's form in problem 6."""
+    c = F.col(c) if isinstance(c, str) else c
+    if not same_form:
+        return _plain_set(c)
+    looks = look_alikes(SparkSession.getActiveSession())
 
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def look_set(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else hashed_words(looks.form(t)) for t in texts], dtype=object)
 
-def word_set(c, same_form: bool = False) -> Column:
-    """hashed_words as array<int>, null for null; with same_form of the text's same_look."""
-    return (_look_set if same_form else _plain_set)(F.col(c) if isinstance(c, str) else c)
+    return look_set(c)
 
 
 def set_id(words_column: str) -> Column:

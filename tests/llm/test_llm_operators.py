@@ -16,7 +16,7 @@ from kolam.llm.components import connected_components, split_whole_components
 from kolam.llm.cutoffs import keep_fraction_cutoffs
 from kolam.llm.history import PivotHistory, history_table, repeats_of_history
 from kolam.llm.languages import Automaton, Languages, fit_languages, label_language, language_segments, sentences
-from kolam.llm.lookalikes import same_look, same_look_column
+from kolam.llm.lookalikes import look_alikes, published_pairs, same_look, same_look_column
 from kolam.llm.mixing import mix_sources, water_filling
 from kolam.llm.neardup import band_pairs, band_rows, dart_signatures, near_duplicate_groups
 from kolam.llm.packing import GAP, ITEM, bracket_pairs, pack, successor_sweep
@@ -364,6 +364,29 @@ def test_same_look(a, b):
     assert same_look(same_look(a)) == same_look(a)
 
 
+PUBLISHED = [("ρaypal", "paypal"), ("αlpha", "alpha"), ("ιnk", "ink"), ("υnit", "unit"), ("ѵan", "van"), ("ӏamp", "lamp"), ("үou", "you"), ("ϲat", "cat"), ("Ꭺpple", "Apple"), ("ꓮpple", "Apple"), ("ⲟpen", "open")]
+
+
+def test_published_look_alikes(spark):
+    looks = look_alikes(spark)
+    assert len(published_pairs(spark)) > 250
+    for a, b in PUBLISHED:
+        assert looks.form(a) == b == looks.form(b)
+    for a, b in [("lI", "Il"), ("rn", "m"), ("0", "O"), ("Apple", "apple"), ("é", "e"), ("1", "l")]:
+        assert looks.form(a) != looks.form(b)  # of one script, another case, or with a visible accent
+    df = spark.createDataFrame([(a, b) for a, b in PUBLISHED] + [(None, None), ("", "")], "a string, b string")
+    assert all(r[0] == r[1] for r in df.select(same_look_column("a"), same_look_column("b")).collect())
+
+
+def test_forms_are_stable(spark):
+    looks, rng = look_alikes(spark), random.Random(4)
+    letters = [*looks.to, *"abcxyz .1", *"కఖగడ", "\u0301", "\u200b", "ｆ"]
+    for _ in range(3000):
+        text = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(1, 4)))
+        once = looks.form(text)
+        assert looks.form(once) == once, text
+
+
 @pytest.mark.parametrize("a, b", [("Nenu", "nenu"), ("nénu", "nenu"), ("x²", "x2"), ("nenu  a", "nenu a"), ("వాడు", "వాడ"), ("", " ")])
 def test_different_look(a, b):
     assert same_look(a) != same_look(b)
