@@ -114,15 +114,16 @@ def _poisson(mean: float) -> np.ndarray:
     return _cdf[mean]
 
 
-def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sorted word hashes, weights, numbers of sets) of the words in more than common_from of all sets, counted over every set.
 
-    A set has l words on average, so at most l / common_from words can be that common, however large the input. The weight falls
-    from 1 at a share of `rare` with the logarithm of the share, down to `light`. All other words weigh 1.
+    A set has l words on average, so at most l / common_from words can be that common, however large the input; of more than `most`
+    the commonest are taken, which bounds what is sent to all tasks and changes no result, as only the order of words and the bands'
+    luck depend on it. The weight falls from 1 at a share of `rare` with the logarithm of the share, down to `light`. All other words weigh 1.
     """
     n = nodes.count()
     counts = nodes.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common_from * n)
-    rows = counts.toPandas().sort_values("w")
+    rows = counts.orderBy(F.desc("n"), "w").limit(most).toPandas().sort_values("w")
     weight = np.clip(np.log(np.maximum(n, 1) / np.maximum(rows["n"].to_numpy(float), 1)) / np.log(1 / rare), light, 1.0)
     return rows["w"].to_numpy(np.int64), weight, rows["n"].to_numpy(np.int64)
 
@@ -188,14 +189,14 @@ def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_
     return made.select(F.explode("keys").alias("band"), "id", "bits", "mark")
 
 
-def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], threshold: float, crowd: int = 1000, depth: int = 3) -> DataFrame:
+def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], threshold: float, crowd: int = 1000, depth: int = 3, most: int = 1_000_000) -> DataFrame:
     """(band, id, bits, mark): buckets of which every two sets that reach the threshold share at least one.
 
     common: (sorted hashes, numbers of sets) of the common words; the order is the rare words first, then these by number. A set of
     n words shares at least o = threshold * n with any such other, so the d-th word they share is among its first n - o + d. A bucket
     is a shared first word; those of more than crowd sets are parted by the second shared word too, then by the third. Sets that may
-    share no further word (o < d) meet in a bucket of their own. Per depth, the keys of the crowded buckets, at most 1 in crowd rows,
-    are sent to all tasks.
+    share no further word (o < d) meet in a bucket of their own. Per depth, the keys of the `most` largest crowded buckets are sent to
+    all tasks; other crowded ones aren't parted further, and go the way of hot bands as they are.
     """
     import pyarrow as pa
 
@@ -240,7 +241,7 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
                 yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
         full = nodes.select("id", "words").mapInArrow(part, "band long, n long").groupBy("band").agg(F.sum("n").alias("n")).where(F.col("n") > crowd)
-        return full.select("band").toPandas()["band"].to_numpy(np.int64).view(np.uint64)
+        return full.orderBy(F.desc("n"), "band").limit(most).select("band").toPandas()["band"].to_numpy(np.int64).view(np.uint64)
 
     crowded = []
     while len(crowded) < depth - 1 and len(keys := crowds(crowded)):
@@ -273,10 +274,10 @@ def _most(mark: np.ndarray, threshold: float) -> np.ndarray:
     return np.where(size >= MOST_SIZE, np.inf, size * ((1 - threshold) / (1 + threshold)) + 1e-3).astype(np.float32)
 
 
-def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
+def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None = None) -> DataFrame:
     """(a, b) of the pairs of a band that may reach the threshold, a < b, and, with null a and b, the rows of hot bands.
 
-    One shuffle by band; a task then passes through its sorted rows once and holds no more than a batch and hot rows.
+    One shuffle by band, into so many tasks; a task then passes through its sorted rows once and holds no more than a batch and hot rows.
     """
     at_once = 60_000
 
@@ -362,23 +363,25 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
             if (n > hot).any():
                 yield [c[n > hot] for c in cols]
 
-    return rows.repartition("band").sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
+    parted = rows.repartition("band") if tasks is None else rows.repartition(tasks, "band")
+    return parted.sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
 
 
-def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None, crowd: int = 1000) -> DataFrame:
+def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None, crowd: int = 1000, rows_per_task: int = 250_000) -> DataFrame:
     """One row per text: all columns of texts but words, and group. Texts are in one group if their word sets reach the threshold,
     or if other texts link them; a text alone is a group of its own.
 
     texts: needs a column words (word_set); rows with null words take no part and give no row, repeated rows stay; a column named group is replaced. A group's number
     is the least of its sets' ids, so equal inputs give equal numbers. No texts give no rows. Bands find most links, and those of
     thousands of texts that resemble each other; prefix_rows has the pairs they miss, so that no pair at the threshold stays apart.
+    The shuffles by band have a task for each rows_per_task rows, so a task's share stays the same at any size.
     """
     spark = texts.sparkSession
     own = box is None
     box = box or Scratch(spark, "neardup")
     docs = box.save(texts.where(F.col("words").isNotNull()).withColumn("_id", set_id("words")), "texts")
     nodes = box.save(docs.groupBy("_id").agg(F.first("words").alias("words")).select(F.col("_id").alias("id"), "words"), "nodes")
-    links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box, crowd), "links")
+    links = box.save(_links(nodes, threshold, rows_per_band, bands, hot, box, crowd, rows_per_task), "links")
     comp = connected_components(links, "a", "b", box=box)
     if own:
         box.keep_only(docs, comp)
@@ -398,16 +401,19 @@ def _may_reach(x: str, y: str, threshold: float):
     return (odd <= most_difference(size(x), size(y), threshold)) | (F.greatest(size(x), size(y)) >= MOST_SIZE)
 
 
-def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch, crowd: int) -> DataFrame:
+def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch, crowd: int, rows_per_task: int) -> DataFrame:
     hashes, weights, numbers = common_word_weights(nodes)
-    links = _links_of(band_rows(nodes, (hashes, weights), rows_per_band, bands), None, nodes, threshold, hot, box)
-    rest = prefix_rows(nodes, (hashes, numbers), threshold, crowd)
-    return _links_of(rest, links, nodes, threshold, crowd, box)
+    size = F.size("words")
+    first = nodes.agg(F.count(F.lit(1)), F.sum(size - F.ceil(threshold * size - 1e-6) + 1)).first()
+    least = nodes.sparkSession.sparkContext.defaultParallelism
+    tasks = lambda n: max(least, -(-int(n or 0) // rows_per_task))
+    links = _links_of(band_rows(nodes, (hashes, weights), rows_per_band, bands), None, nodes, threshold, hot, box, tasks(first[0] * bands))
+    return _links_of(prefix_rows(nodes, (hashes, numbers), threshold, crowd), links, nodes, threshold, crowd, box, tasks(first[1]))
 
 
-def _links_of(rows: DataFrame, known: DataFrame | None, nodes: DataFrame, threshold: float, hot: int, box: Scratch) -> DataFrame:
+def _links_of(rows: DataFrame, known: DataFrame | None, nodes: DataFrame, threshold: float, hot: int, box: Scratch, tasks: int) -> DataFrame:
     """The links among the sets of each band, and the known ones; of bands of more than hot sets as many as join the same sets."""
-    found = box.save(band_pairs(rows, threshold, hot), "candidates")
+    found = box.save(band_pairs(rows, threshold, hot, tasks), "candidates")
     pairs = found.where(F.col("a").isNotNull()).select("a", "b")
     if known is not None:
         pairs = pairs.join(known, ["a", "b"], "left_anti")
