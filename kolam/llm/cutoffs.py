@@ -15,7 +15,7 @@ from kolam.functions.names import norm_name
 from kolam.scratch import Scratch
 
 
-def keep_fraction_cutoffs(values: DataFrame, targets: DataFrame, source: str = "domain", value: str = "value", fraction: str = "keep_fraction", finish_at: int = 512, max_rounds: int = 500) -> DataFrame:
+def keep_fraction_cutoffs(values: DataFrame, targets: DataFrame, source: str = "domain", value: str = "value", fraction: str = "keep_fraction", finish_at: int = 16, max_rounds: int = 500) -> DataFrame:
     """One row per source name of targets: source as spelled there, its fraction, n, wanted, cutoff, n_kept.
 
     The cutoff is the largest of the source's values that at least ceil(fraction * n) of its records reach, so ties at the cutoff
