@@ -15,29 +15,39 @@ from kolam.functions.names import norm_name
 from kolam.scratch import Scratch, local_table
 
 
-def water_filling(sizes: np.ndarray, shares: np.ndarray, copies: np.ndarray, total: float) -> np.ndarray:
-    """The size each source contributes to a mixture of the total: its share, or its size x copies where that is less, the excess
-    being redistributed in proportion. If all sources together can't reach the total, all are clamped."""
+def filling_rounds(sizes: np.ndarray, shares: np.ndarray, copies: np.ndarray, total: float) -> tuple[np.ndarray, np.ndarray]:
+    """(the size each source contributes to a mixture of the total, the round from 1 in which it was clamped, else 0).
+
+    A source gives its share, or its size x copies where that is not more, and then it is clamped; the excess is redistributed in
+    proportion in the next round. If all sources together can't reach the total, all are clamped."""
     most = sizes * copies
     got, free = np.zeros(len(sizes)), shares > 0
-    room = float(total)
+    clamped = np.zeros(len(sizes), int)
+    room, round_ = float(total), 0
     while free.any() and room > 0:
+        round_ += 1
         want = room * shares / shares[free].sum()
         clamp = free & (want >= most)
         if not clamp.any():
             got[free] = want[free]
             break
-        got[clamp] = most[clamp]
+        got[clamp], clamped[clamp] = most[clamp], round_
         room -= most[clamp].sum()
         free &= ~clamp
-    return got
+    return got, clamped
+
+
+def water_filling(sizes: np.ndarray, shares: np.ndarray, copies: np.ndarray, total: float) -> np.ndarray:
+    """The sizes of filling_rounds."""
+    return filling_rounds(sizes, shares, copies, total)[0]
 
 
 def mix_sources(records: DataFrame, targets: DataFrame, key: str, size: str, source: str = "source", total: float | None = None, seed: int = 0, bins: int = 4096) -> tuple[DataFrame, DataFrame]:
     """(report, copies).
 
     report, a row for each row of targets: source as spelled there, target_share, max_copies, size of its records, reachable (size x
-    max_copies >= target_share x total of all listed sources), planned and used size, actual_share.
+    max_copies >= target_share x total of all listed sources), clamped (the round of the water-filling that clamped it, 0 for none;
+    in the first a source is held against its own target, later ones have others' excess too), planned and used size, actual_share.
     copies: (key, source, size, copies) of each record used, copies from 1 to max_copies.
 
     total defaults to the size of all records of the listed sources, each counted once. Names are compared by norm_name; if targets
@@ -60,7 +70,7 @@ def mix_sources(records: DataFrame, targets: DataFrame, key: str, size: str, sou
     shares = np.array([first[s]["share"] for s in names])
     copies = np.array([float(first[s]["copies"]) for s in names])
     whole = float(size_of.sum())
-    planned = water_filling(size_of, shares, copies, whole if total is None else total)
+    planned, clamped = filling_rounds(size_of, shares, copies, whole if total is None else total)
     plan = []
     used: dict[str, float] = {}
     for s, z, p, c in zip(names, size_of, planned, copies):
@@ -78,8 +88,8 @@ def mix_sources(records: DataFrame, targets: DataFrame, key: str, size: str, sou
         own = r["s"] is not None and first[r["s"]] is r
         z = float(sizes.get(r["s"], 0))
         u = used.get(r["s"], 0.0) if own else 0.0
-        report.append((r[source], r["share"], r["copies"], int(z), bool(z * r["copies"] >= r["share"] * whole), float(planned[names.index(r["s"])]) if own else 0.0, int(u), float(u / all_used) if all_used else 0.0))
-    report_df = local_table(spark, report, f"{source} string, target_share double, max_copies int, size long, reachable boolean, planned double, used long, actual_share double")
+        report.append((r[source], r["share"], r["copies"], int(z), bool(z * r["copies"] >= r["share"] * whole), int(clamped[names.index(r["s"])]) if own else 0, float(planned[names.index(r["s"])]) if own else 0.0, int(u), float(u / all_used) if all_used else 0.0))
+    report_df = local_table(spark, report, f"{source} string, target_share double, max_copies int, size long, reachable boolean, clamped int, planned double, used long, actual_share double")
     plan_df = local_table(spark, plan, "s string, full int, edge int")
     out = kept.join(plan_df, "s").withColumn("copies", F.col("full") + (F.col("bin") < F.col("edge")).cast("int")).where(F.col("copies") > 0)
     return report_df, out.select(F.col("k").alias(key), F.col("s").alias(source), F.col("z").alias("size"), "copies")

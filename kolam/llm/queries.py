@@ -71,24 +71,23 @@ def _sampled_from(spark: SparkSession, d: str) -> DataFrame:
     return cur.select("sentence_id", present_name("domain").alias("domain"), present_name("category").alias("category")).where(F.col("domain").isNotNull() & F.col("category").isNotNull())
 
 
-def _sample_and_report(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def p3_sample(spark: SparkSession, d: str) -> DataFrame:
     from kolam.llm.sampling import proportional_sample, target_report
 
     rows = Scratch(spark, "p3").save(_sampled_from(spark, d), "records")
-    report = target_report(rows, table(spark, d, "sample_targets"), rows.count() // 8)
-    return proportional_sample(rows, report, "sentence_id"), report
-
-
-def p3_sample(spark: SparkSession, d: str) -> DataFrame:
-    return _sample_and_report(spark, d)[0]
+    return proportional_sample(rows, target_report(rows, table(spark, d, "sample_targets"), rows.count() // 8), "sentence_id")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """The targets the drawn sample could not meet: those of whose records it had fewer to draw from than needed."""
-    sample, report = _sample_and_report(spark, d)
+    """The targets that can't be met: calibrated to what each needs, its records' probabilities still fall short, and the drawn sample too."""
+    from kolam.llm.sampling import calibrated_gaps, proportional_sample, target_report
+
+    rows = Scratch(spark, "p3").save(_sampled_from(spark, d), "records")
+    report = target_report(rows, table(spark, d, "sample_targets"), rows.count() // 8)
+    sample = proportional_sample(rows, report, "sentence_id")
     drawn = sample.groupBy(F.col("domain").alias("_d"), F.col("category").alias("_c")).agg(F.count(F.lit(1)).alias("drawn"))
-    full = report.join(drawn, ["_d", "_c"], "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
-    return full.where(~F.col("met") & (F.col("drawn") < F.col("needed"))).select("domain", "category").distinct()
+    full = calibrated_gaps(rows, report).join(drawn, ["_d", "_c"], "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    return full.where((F.col("gap") > 0) & (F.col("drawn") < F.col("needed"))).select("domain", "category").distinct()
 
 
 # 4
@@ -236,7 +235,8 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return p9_report(spark, d).where(~F.col("reachable")).select("source").distinct()
+    """The sources that the first round of the water-filling clamps, and by less than their target."""
+    return p9_report(spark, d).where((F.col("clamped") == 1) & ~F.col("reachable")).select("source").distinct()
 
 
 # 10

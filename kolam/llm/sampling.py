@@ -129,6 +129,26 @@ def target_report(records: DataFrame, targets: DataFrame, size: int) -> DataFram
     return local_table(records.sparkSession, list(plain.where(plain.notna(), None).itertuples(index=False, name=None)), schema)
 
 
+def calibrated_gaps(records: DataFrame, report: DataFrame) -> DataFrame:
+    """report with reached, the sum of inclusion probabilities when each row's records are calibrated to its needed number, and gap,
+    what is missing then. Where there are too few records the tilting has no finite solution: all are in, and the gap is above 0."""
+    spark = records.sparkSession
+    rows = report.select("domain", "category", "target_share", "min_rows", "_d", "_c", "needed").orderBy("_d", "_c", "domain", "category", "target_share", "min_rows").collect()  # one row per target
+    cells = local_table(spark, [(i, r["_d"], r["_c"]) for i, r in enumerate(rows)], "cell int, _d string, _c string")
+    per = records.select(present_name("domain").alias("_d"), present_name("category").alias("_c")).groupBy("_d", "_c").agg(F.count(F.lit(1)).alias("n"))
+    moments = Scratch(spark, "gaps").save(per.join(cells, ["_d", "_c"]).select("cell", F.lit(1.0).alias("weight"), "n"), "moments")
+    logs = calibrate(moments, np.array([r["needed"] for r in rows], float))
+    factors = [(i, float(min(1e300, math.exp(min(x, 690)))), *(r[c] for c in ("domain", "category", "target_share", "min_rows"))) for i, (x, r) in enumerate(zip(logs, rows))]
+    table = local_table(spark, factors, "cell int, factor double, domain string, category string, target_share double, min_rows long")
+    own = ["domain", "category", "target_share", "min_rows"]
+    sums = table.join(moments, "cell", "left").groupBy(*own).agg(F.coalesce(F.sum(F.least(F.col("weight") * F.col("factor"), F.lit(1.0)) * F.col("n")), F.lit(0.0)).alias("reached"))
+    x, y = report.alias("x"), sums.alias("y")
+    on = F.lit(True)
+    for c in own:
+        on = on & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    return x.join(y, on).select("x.*", "y.reached", (F.col("x.needed") - F.round("y.reached", 6)).alias("gap"))
+
+
 def proportional_sample(records: DataFrame, report: DataFrame, key: str, weight: str | None = None, seed: int = 0, block: int = 20_000) -> DataFrame:
     """(key, domain, category) of the sampled records, names in their compared form; report is target_report's.
 

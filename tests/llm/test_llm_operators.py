@@ -17,11 +17,11 @@ from kolam.llm.cutoffs import keep_fraction_cutoffs
 from kolam.llm.history import PivotHistory, history_table, repeats_of_history
 from kolam.llm.languages import Automaton, Languages, fit_languages, label_language, language_segments, sentences
 from kolam.llm.lookalikes import look_alikes, published_pairs, same_look, same_look_column
-from kolam.llm.mixing import mix_sources, water_filling
+from kolam.llm.mixing import filling_rounds, mix_sources, water_filling
 from kolam.llm.neardup import band_pairs, band_rows, dart_signatures, near_duplicate_groups
 from kolam.llm.packing import GAP, ITEM, bracket_pairs, pack, successor_sweep
 from kolam.llm.ranking import first_places, rank_walk
-from kolam.llm.sampling import pivotal, proportional_sample, target_report, whole_numbers
+from kolam.llm.sampling import calibrated_gaps, pivotal, proportional_sample, target_report, whole_numbers
 from kolam.llm.tokens import token_count
 from kolam.llm.wordsets import hashed_words, word_set
 
@@ -211,6 +211,13 @@ def test_sample_meets_its_report(spark):
         assert sample.select("id").distinct().count() == sum(drawn.values())
 
 
+def test_gaps_are_those_of_the_calibration(spark):
+    records = spark.createDataFrame([(i, "Farm" if i < 90 else " sea", "Tool") for i in range(100)], "id int, domain string, category string")
+    targets = spark.createDataFrame([("Farm", "Tool", 0.9, 90), ("Farm ", "tool", 0.0, 91), ("Sea", "Tool", 0.1, 11), ("Sea", "Lamp", 0.0, 1), ("Sea", "Song", 0.0, 0), (None, "Tool", 0.0, 2)], "domain string, category string, target_share double, min_rows int")
+    got = {(r["domain"], r["category"]): (round(r["reached"], 6), round(r["gap"], 6)) for r in calibrated_gaps(records, target_report(records, targets, 12)).collect()}
+    assert got == {("Farm", "Tool"): (90, 0), ("Farm ", "tool"): (90, 1), ("Sea", "Tool"): (10, 1), ("Sea", "Lamp"): (0, 1), ("Sea", "Song"): (0, 0), (None, "Tool"): (0, 2)}
+
+
 def test_sample_of_nothing(spark):
     records = spark.createDataFrame([], "id int, domain string, category string")
     targets = spark.createDataFrame([("A", "B", 1.0, 2)], "domain string, category string, target_share double, min_rows int")
@@ -552,6 +559,7 @@ def test_token_count(spark):
 def test_water_filling():
     got = water_filling(np.array([100.0, 10.0, 1000.0]), np.array([0.5, 0.4, 0.1]), np.array([2.0, 2.0, 1.0]), 1000.0)
     assert got[1] == 20 and got[0] == 200 and abs(got[2] - 780) < 1e-9
+    assert filling_rounds(np.array([100.0, 290.0, 1000.0]), np.array([0.4, 0.4, 0.2]), np.array([1.0, 2.0, 1.0]), 1000.0)[1].tolist() == [1, 2, 0]
 
 
 def test_mixture_keeps_to_its_caps(spark):
