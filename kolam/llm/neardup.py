@@ -367,14 +367,15 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
     return parted.sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
 
 
-def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None, crowd: int = 1000, rows_per_task: int = 250_000) -> DataFrame:
+def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_band: int = 3, bands: int = 30, hot: int = 20_000, box: Scratch | None = None, crowd: int = 1000, rows_per_task: int = 4_000_000) -> DataFrame:
     """One row per text: all columns of texts but words, and group. Texts are in one group if their word sets reach the threshold,
     or if other texts link them; a text alone is a group of its own.
 
     texts: needs a column words (word_set); rows with null words take no part and give no row, repeated rows stay; a column named group is replaced. A group's number
     is the least of its sets' ids, so equal inputs give equal numbers. No texts give no rows. Bands find most links, and those of
     thousands of texts that resemble each other; prefix_rows has the pairs they miss, so that no pair at the threshold stays apart.
-    The shuffles by band have a task for each rows_per_task rows, so a task's share stays the same at any size.
+    The shuffles by band have the session's number of partitions, or a task for each rows_per_task rows where that is more, so that
+    no task's share grows with the input.
     """
     spark = texts.sparkSession
     own = box is None
@@ -405,7 +406,7 @@ def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, h
     hashes, weights, numbers = common_word_weights(nodes)
     size = F.size("words")
     first = nodes.agg(F.count(F.lit(1)), F.sum(size - F.ceil(threshold * size - 1e-6) + 1)).first()
-    least = nodes.sparkSession.sparkContext.defaultParallelism
+    least = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = lambda n: max(least, -(-int(n or 0) // rows_per_task))
     links = _links_of(band_rows(nodes, (hashes, weights), rows_per_band, bands), None, nodes, threshold, hot, box, tasks(first[0] * bands))
     return _links_of(prefix_rows(nodes, (hashes, numbers), threshold, crowd), links, nodes, threshold, crowd, box, tasks(first[1]))
