@@ -201,25 +201,36 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
     import pyarrow as pa
 
     sc = nodes.sparkSession.sparkContext
-    shared = sc.broadcast(common)
+    place_of = np.empty(len(common[0]), np.int64)
+    place_of[np.lexsort(common)] = np.arange(1, len(common[0]) + 1)  # by number, then hash
+    shared = sc.broadcast((common[0], place_of))
+    all_known = len(common[1]) > 0 and len(common[1]) < most and int(common[1].min()) <= crowd  # then no other word fills a bucket
 
-    def rows_of(tokens, starts, crowded):
+    def within(sorted_, x):
+        if not len(sorted_):
+            return np.zeros(len(x), bool)
+        return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
+
+    def rows_of(tokens, starts, crowded, only_common=False):
         """The (set, key) of the buckets that end before the last depth, and of those of the last."""
-        hashes, number = shared.value
+        hashes, places = shared.value
         size = np.diff(starts)
         owner = np.repeat(np.arange(len(size)), size)
         often = np.zeros(len(tokens), np.int64)
         if len(hashes):
             at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
-            often = np.where(hashes[at] == tokens, number[at], 0)
-        word = tokens[np.lexsort((tokens, often, owner))].view(np.uint64)
+            often = np.where(hashes[at] == tokens, places[at], 0)
+        order = np.argsort((owner << 21) | often, kind="stable")  # a set's words come sorted by hash
+        word = tokens[order].view(np.uint64)
         least = np.maximum(np.ceil(threshold * size - 1e-6), 1).astype(np.int64)
         place = np.arange(len(word)) - starts[owner]
         use = place <= (size - least)[owner]
+        if only_common:
+            use &= often[order] > 0
         who, place, key = owner[use], place[use], _mix(word[use])
         done = []
         for d, keys in enumerate(crowded, 1):
-            full = np.isin(key, keys)
+            full = within(keys, key)
             done.append((who[~full], key[~full]))
             who, place, key = who[full], place[full], key[full]
             stop = least[who] <= d
@@ -237,11 +248,11 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
         def part(batches):
             for _, tokens, starts in _pieces(batches):
                 with np.errstate(over="ignore"):
-                    key, n = np.unique(rows_of(tokens, starts, known.value)[1][1], return_counts=True)
+                    key, n = np.unique(rows_of(tokens, starts, known.value, all_known)[1][1], return_counts=True)
                 yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
         full = nodes.select("id", "words").mapInArrow(part, "band long, n long").groupBy("band").agg(F.sum("n").alias("n")).where(F.col("n") > crowd)
-        return full.orderBy(F.desc("n"), "band").limit(most).select("band").toPandas()["band"].to_numpy(np.int64).view(np.uint64)
+        return np.sort(full.orderBy(F.desc("n"), "band").limit(most).select("band").toPandas()["band"].to_numpy(np.int64).view(np.uint64))
 
     crowded = []
     while len(crowded) < depth - 1 and len(keys := crowds(crowded)):

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -36,42 +38,65 @@ def _hash(s: str) -> int:
     return xxhash.xxh32_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 31)
 
 
-_known: dict[str, int | None] = {}
+_NONE = 1 << 40  # stands for a word without any letter or digit
+_known: dict[str, int] = {}
+
+
+def _learn(words) -> None:
+    if len(_known) + len(words) > 400_000:
+        _known.clear()
+    for w in words:
+        bare = bare_word(w)
+        _known[w] = _hash(bare) if bare else _NONE
+
+
+def hashed_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes of all texts one after another, where each text's begin, and the end): of a text its sorted distinct word hashes;
+    of a text without words, one hash of the text itself."""
+    parts = [t.lower().split() for t in texts]
+    flat = list(chain.from_iterable(parts))
+    got = list(map(_known.get, flat))
+    if None in got:
+        _learn({w for w, h in zip(flat, got) if h is None})
+        got = list(map(_known.get, flat))
+        if None in got:  # what was known before was cleared
+            _learn(set(flat))
+            got = list(map(_known.get, flat))
+    hashes = np.array(got, np.int64)
+    owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, parts), np.int64, len(parts)))
+    real = hashes != _NONE
+    hashes, owner = hashes[real], owner[real]
+    bare = np.flatnonzero(np.bincount(owner, minlength=len(texts)) == 0)
+    if len(bare):
+        hashes = np.concatenate([hashes, np.array([_hash("\0" + texts[i]) for i in bare], np.int64)])
+        owner = np.concatenate([owner, bare])
+    key = np.unique((owner << 32) + (hashes + (1 << 31)))
+    owner, hashes = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
+    return hashes.astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
 
 
 def hashed_words(text: str) -> list[int]:
-    """The sorted distinct word hashes of a text; of a text without words, one hash of the text itself."""
-    out = set()
-    for w in text.lower().split():
-        try:
-            h = _known[w]
-        except KeyError:
-            if len(_known) >= 200_000:
-                _known.clear()
-            bare = bare_word(w)
-            h = _known[w] = _hash(bare) if bare else None
-        if h is not None:
-            out.add(h)
-    return sorted(out) or [_hash("\0" + text)]
-
-
-@F.pandas_udf(ArrayType(IntegerType()))
-def _plain_set(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else hashed_words(t) for t in texts], dtype=object)
+    """The sorted distinct word hashes of a text, as in hashed_sets."""
+    return hashed_sets([text])[0].tolist()
 
 
 def word_set(c, same_form: bool = False) -> Column:
     """hashed_words as array<int>, null for null; with same_form of the text's form in problem 6."""
-    c = F.col(c) if isinstance(c, str) else c
-    if not same_form:
-        return _plain_set(c)
-    looks = look_alikes(SparkSession.getActiveSession())
-
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def look_set(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else hashed_words(looks.form(t)) for t in texts], dtype=object)
-
-    return look_set(c)
+    looks = look_alikes(SparkSession.getActiveSession()) if same_form else None
+
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def sets(texts: pa.Array) -> pa.Array:
+        given = texts.to_pylist()
+        known = [t for t in given if t is not None]
+        values, starts = hashed_sets([looks.form(t) for t in known] if looks else known)
+        offsets = starts.astype(np.int32)
+        if len(known) == len(given):
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        here = np.array([t is not None for t in given])
+        at = np.concatenate([[0], np.cumsum(here)])
+        return pa.ListArray.from_arrays(pa.array(offsets[at], mask=np.append(~here, False)), pa.array(values))
+
+    return sets(F.col(c) if isinstance(c, str) else c)
 
 
 def set_id(words_column: str) -> Column:
