@@ -270,14 +270,22 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
     return nodes.select("id", "words").mapInArrow(part, "band long, id long, bits long, mark long")
 
 
-def _passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y):
-    """Where the pairs may reach the threshold; the second half of the bits is only looked at where the first passes."""
+def _passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y) -> np.ndarray:
+    """The places of the pairs that may reach the threshold; the second half of the bits is only looked at where the first passes."""
     odd = np.bitwise_count(bits_x ^ bits_y)
-    where = np.nonzero(odd <= most_x + most_y)
-    x, y = (np.broadcast_to(m, odd.shape)[where] for m in (mark_x, mark_y))
-    cap = (np.broadcast_to(most_x, odd.shape)[where] + np.broadcast_to(most_y, odd.shape)[where])
-    sure = odd[where] + np.bitwise_count((x ^ y) & LOW) <= cap
-    return tuple(w[sure] for w in where)
+    at = np.flatnonzero(odd <= most_x + most_y)
+    sure = odd[at] + np.bitwise_count((mark_x[at] ^ mark_y[at]) & LOW) <= most_x[at] + most_y[at]
+    return at[sure]
+
+
+def _passes_between(bits_x, bits_y, most_x, most_y, mark_x, mark_y) -> tuple[np.ndarray, np.ndarray]:
+    """The same for all of x with all of y: (places in x, places in y)."""
+    odd = np.bitwise_count(bits_x[:, None] ^ bits_y[None])
+    at = np.flatnonzero(odd <= most_x[:, None] + most_y[None])
+    i, j = np.divmod(at, len(bits_y))
+    sure = odd.ravel()[at] + np.bitwise_count((mark_x[i] ^ mark_y[j]) & LOW) <= most_x[i] + most_y[j]
+    return i[sure], j[sure]
+
 
 def _most(mark: np.ndarray, threshold: float) -> np.ndarray:
     """Half of what two sets may differ in, as each one's size has it; without limit where the size isn't known exactly."""
@@ -310,7 +318,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
                 at = at[band[at] == band[at + d]]
                 if not len(at):
                     break
-                ok = at[_passes(bits[at], bits[at + d], most[at], most[at + d], mark[at], mark[at + d])[0]]
+                ok = at[_passes(bits[at], bits[at + d], most[at], most[at + d], mark[at], mark[at + d])]
                 if len(ok):
                     yield id_[ok], id_[ok + d]
             begin = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
@@ -318,7 +326,7 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
                 end = first + n[first]
                 for r in range(first, end, step := max(1, 200_000 // n[first])):
                     x, y = slice(r, min(r + step, end)), slice(r, end)
-                    i, j = _passes(bits[x, None], bits[None, y], most[x, None], most[None, y], mark[x, None], mark[None, y])
+                    i, j = _passes_between(bits[x], bits[y], most[x], most[y], mark[x], mark[y])
                     ok = i < j
                     if ok.any():
                         yield id_[r + i[ok]], id_[r + j[ok]]
@@ -362,11 +370,19 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
         return np.repeat(n, n)
 
     def settled(cols, pairs):
-        """Pairs of the bands that aren't hot."""
+        """Pairs of the bands that aren't hot, some thousands at once."""
         if len(cols[0]):
             n = run_lengths(cols[0])
             few = (n > 1) & (n <= hot)
-            yield from pairs([c[few] for c in cols])
+            got, waiting = [], 0
+            for p in pairs([c[few] for c in cols]):
+                got.append(p)
+                waiting += len(p[0])
+                if waiting >= 20_000:
+                    yield tuple(map(np.concatenate, zip(*got)))
+                    got, waiting = [], 0
+            if got:
+                yield tuple(map(np.concatenate, zip(*got)))
 
     def hot_of(cols):
         if len(cols[0]) > hot:
@@ -467,7 +483,7 @@ def _hot_links(many: DataFrame, nodes: DataFrame, links: DataFrame, threshold: f
             for k in range(0, len(x), step := max(1, 200_000 // len(y))):
                 q = x.iloc[k : k + step]
                 m = q["mark"].to_numpy()
-                i, j = _passes(np.ascontiguousarray(q["bits"].to_numpy()).view(np.uint64)[:, None], bits[None], _most(m, threshold)[:, None], most[None], m[:, None], mark[None])
+                i, j = _passes_between(np.ascontiguousarray(q["bits"].to_numpy()).view(np.uint64), bits, _most(m, threshold), most, m, mark)
                 ok = q["component"].to_numpy()[i] != comp[j]
                 out.append(np.stack([q["id"].to_numpy()[i[ok]], ids[j[ok]]]))
         both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)

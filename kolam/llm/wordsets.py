@@ -42,37 +42,27 @@ _NONE = 1 << 40  # stands for a word without any letter or digit
 _known: dict[str, int] = {}
 
 
-def _learn(words) -> None:
-    if len(_known) + len(words) > 400_000:
-        _known.clear()
-    for w in words:
-        bare = bare_word(w)
-        _known[w] = _hash(bare) if bare else _NONE
-
-
 def hashed_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes of all texts one after another, where each text's begin, and the end): of a text its sorted distinct word hashes;
     of a text without words, one hash of the text itself."""
     parts = [t.lower().split() for t in texts]
-    flat = list(chain.from_iterable(parts))
-    got = list(map(_known.get, flat))
-    if None in got:
-        _learn({w for w, h in zip(flat, got) if h is None})
-        got = list(map(_known.get, flat))
-        if None in got:  # what was known before was cleared
-            _learn(set(flat))
-            got = list(map(_known.get, flat))
-    hashes = np.array(got, np.int64)
-    owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, parts), np.int64, len(parts)))
-    real = hashes != _NONE
-    hashes, owner = hashes[real], owner[real]
-    bare = np.flatnonzero(np.bincount(owner, minlength=len(texts)) == 0)
-    if len(bare):
-        hashes = np.concatenate([hashes, np.array([_hash("\0" + texts[i]) for i in bare], np.int64)])
-        owner = np.concatenate([owner, bare])
-    key = np.unique((owner << 32) + (hashes + (1 << 31)))
-    owner, hashes = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
-    return hashes.astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+    new = set(chain.from_iterable(parts)).difference(_known)
+    if new and len(_known) + len(new) > 400_000:
+        _known.clear()
+        new = set(chain.from_iterable(parts))
+    for w in new:
+        bare = bare_word(w)
+        _known[w] = _hash(bare) if bare else _NONE
+    known = _known.__getitem__
+    sets = [sorted(set(map(known, p))) for p in parts]
+    for i, own in enumerate(sets):
+        if not own or own[-1] == _NONE:  # the greatest of all
+            own[-1:] = []
+            if not own:
+                own.append(_hash("\0" + texts[i]))
+    starts = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, sets), np.int64, len(sets)), out=starts[1:])
+    return np.fromiter(chain.from_iterable(sets), np.int32, int(starts[-1])), starts
 
 
 def hashed_words(text: str) -> list[int]:
