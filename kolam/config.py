@@ -52,8 +52,8 @@ class Translation:
     max_attempts: int = 2
     near_duplicate_similarity_threshold: float = 0.95
     semantic_similarity_threshold: float = SEMANTIC_FLOOR
-    source_language: str = "English"
-    target_language: str = "Telugu"
+    source_language: str = "en-IN"
+    target_language: str = "te-IN"
     rules: Rules = field(default_factory=Rules)
     thresholds: dict = field(default_factory=lambda: dict(TRANSLATION_THRESHOLDS))
 

@@ -1,9 +1,9 @@
 """Greedy near-duplicate removal by cosine, in order, within a key.
 
 A row is kept if no earlier kept row of its key (history counts as earlier and kept) has a cosine of at least the threshold. A
-rejected row rejects nobody. The rule is sequential, but only rows with a near neighbour depend on others: near pairs are found
-blockwise, as matrix products of at most block x block rows in any task, and decided in rounds; a row without an undecided earlier
-neighbour is decided at once. That gives the sequential rule's result.
+rejected row rejects nobody. The rule is sequential, but keys are independent, and most are small: many are decided in one pass of a
+task. In a large key only rows with a near neighbour depend on others: near pairs are found blockwise, as matrix products of at most
+block x block rows in any task, and decided in rounds. Both give the sequential rule's result.
 """
 
 from __future__ import annotations
@@ -47,14 +47,74 @@ def near_pairs(rows: DataFrame, key: str, order: str, vector: str, threshold: fl
     return sides.groupBy("k", "i", "j").applyInPandas(find, f"k {kind[key]}, a {kind[order]}, b {kind[order]}").withColumnRenamed("k", key)
 
 
-def greedy_near_duplicates(rows: DataFrame, key: str, order: str, vector: str, threshold: float, history: str | None = None, max_rounds: int = 1000) -> DataFrame:
+def greedy_near_duplicates(rows: DataFrame, key: str, order: str, vector: str, threshold: float, history: str | None = None, small: int = 2000, rounds: int = 8) -> DataFrame:
     """rows with kept BOOLEAN. history names a BOOLEAN column: such rows are kept always and come before all others of their key.
 
-    Rows with a null key or vector are kept. order must be unique in a key.
+    Rows with a null key or vector are kept. order must be unique in a key. Keys of at most `small` rows are decided in one pass, many
+    to a task; of larger ones near pairs are found blockwise, decided in parallel rounds, and what long chains leave open after
+    `rounds` of them by one pass over their links in order.
     """
     box = Scratch(rows.sparkSession, "greedy")
     past = F.coalesce(F.col(history), F.lit(False)) if history else F.lit(False)
-    plain = box.save(rows.select(F.col(key).alias("k"), F.col(order).alias("o"), past.alias("past"), F.col(vector).alias("v")), "rows")
+    kind = dict(rows.dtypes)
+    plain = rows.select(F.col(key).alias("k"), F.col(order).alias("o"), past.alias("past"), F.col(vector).cast("array<double>").alias("v")).where(F.col("k").isNotNull() & F.col("v").isNotNull())
+    plain = box.save(plain, "rows")
+    large = box.save(plain.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > small).select("k"), "large")
+    some = not large.isEmpty()
+    few = plain.join(large, "k", "left_anti") if some else plain
+    schema = f"k {kind[key]}, o {kind[order]}"
+    out = few.repartition("k").sortWithinPartitions("k", F.desc("past"), "o").mapInArrow(lambda batches: _decided(batches, threshold), schema)
+    if some:
+        out = out.unionByName(_decided_by_links(plain.join(large, "k", "left_semi"), threshold, rounds, schema, box))
+    out = box.save(out, "rejected")
+    box.keep_only(out)
+    bad = out.select(F.col("k").alias("_k"), F.col("o").alias("_r"), F.lit(True).alias("_bad"))
+    return rows.join(bad, (F.col(key) == F.col("_k")) & (F.col(order) == F.col("_r")), "left").withColumn("kept", F.col("_bad").isNull()).drop("_k", "_r", "_bad")
+
+
+def _decided(batches, threshold: float):
+    """The rejected (k, o) of rows sorted by key, history and order; holds no more than a batch and one key."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def rejected(b):
+        """Of whole keys."""
+        k, n = b.column("k"), b.num_rows
+        if not n:
+            return
+        starts = np.concatenate([[0], np.flatnonzero(pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)) + 1, [n]])
+        past = b.column("past").to_numpy(zero_copy_only=False)
+        v = b.column("v")
+        x = v.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+        bad = np.zeros(n, bool)
+        for a, e in zip(starts, starts[1:]):
+            if e - a < 2:
+                continue
+            near = np.tril(x[a:e] @ x[a:e].T >= threshold - 1e-12, -1)
+            for i in np.flatnonzero(near.any(axis=1)):
+                bad[a + i] = not past[a + i] and bool((near[i] & ~bad[a:e]).any())
+        if bad.any():
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(bad)) for c in (k, b.column("o"))], names=["k", "o"])
+
+    held = None
+    for b in batches:
+        if held is not None and held.num_rows:
+            b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+        if not b.num_rows:
+            continue
+        k = b.column("k")
+        same = pc.equal(k, k[-1]).to_numpy(zero_copy_only=False)
+        last = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0  # the last key may go on in the next batch
+        yield from rejected(b.slice(0, last))
+        held = b.slice(last)
+    if held is not None:
+        yield from rejected(held)
+
+
+def _decided_by_links(plain: DataFrame, threshold: float, rounds: int, schema: str, box: Scratch) -> DataFrame:
+    """The rejected (k, o) by near pairs: rounds that decide every row without an undecided earlier neighbour, then a pass in order."""
     pairs = near_pairs(plain, "k", "o", "v", threshold)
     p = plain.select("k", "o", "past")
     named = pairs.join(p.select("k", F.col("o").alias("a"), F.col("past").alias("pa")), ["k", "a"]).join(p.select("k", F.col("o").alias("b"), F.col("past").alias("pb")), ["k", "b"]).where(~(F.col("pa") & F.col("pb")))
@@ -63,15 +123,30 @@ def greedy_near_duplicates(rows: DataFrame, key: str, order: str, vector: str, t
     edges = box.save(edges, "edges")
     out = box.save(edges.where("sure").select("k", F.col("late").alias("o")).distinct(), "rejected")
     open_ = box.save(edges.where("not sure").join(out.withColumnRenamed("o", "late"), ["k", "late"], "left_anti").join(out.withColumnRenamed("o", "early"), ["k", "early"], "left_anti").select("k", "early", "late"), "open")
-    for _ in range(max_rounds):
+    for _ in range(rounds):
         if open_.isEmpty():
-            break
+            return out
         # early rows that no open edge could still reject are kept, so their late partners are rejected
         kept = open_.select("k", "early").distinct().join(open_.select("k", F.col("late").alias("early")).distinct(), ["k", "early"], "left_anti")
         gone = box.save(open_.join(kept, ["k", "early"]).select("k", F.col("late").alias("o")).distinct(), "gone")
-        out = box.save(out.unionByName(gone).distinct(), "rejected")
-        open_ = box.save(open_.join(gone.withColumnRenamed("o", "late"), ["k", "late"], "left_anti").join(gone.withColumnRenamed("o", "early"), ["k", "early"], "left_anti"), "open")
-    else:
-        raise RuntimeError("greedy removal did not end")
-    bad = out.select(F.col("k").alias("_k"), F.col("o").alias("_r"), F.lit(True).alias("_bad"))
-    return rows.join(bad, (F.col(key) == F.col("_k")) & (F.col(order) == F.col("_r")), "left").withColumn("kept", F.col("_bad").isNull()).drop("_k", "_r", "_bad")
+        grown = box.save(out.unionByName(gone).distinct(), "rejected")
+        left = box.save(open_.join(gone.withColumnRenamed("o", "late"), ["k", "late"], "left_anti").join(gone.withColumnRenamed("o", "early"), ["k", "early"], "left_anti"), "open")
+        box.drop(out, open_, gone)
+        out, open_ = grown, left
+
+    def in_order(batches):
+        """Links sorted by key and late row: an early row is decided when its late ones come."""
+        import pyarrow as pa
+
+        key, gone = None, set()
+        for b in batches:
+            bad = []
+            for k, late, early in zip(*(b.column(c).to_pylist() for c in ("k", "late", "early"))):
+                if k != key:
+                    key, gone = k, set()
+                if early not in gone and late not in gone:
+                    gone.add(late)
+                    bad.append((k, late))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in bad], b.schema.field(c).type) for i, c in enumerate(("k", "late"))], names=["k", "o"])
+
+    return out.unionByName(open_.repartition("k").sortWithinPartitions("k", "late").select("k", "late", "early").mapInArrow(in_order, schema))

@@ -130,33 +130,47 @@ def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1)::DOUBLE[]), 9) AS similarity FROM embeddings")
 def cosine_to_first(spark: SparkSession, d: str) -> DataFrame:
     e = t(spark, d, "embeddings")
-    first = e.groupBy().agg(F.min_by("embedding", "vec_id").alias("v")).first()["v"]
-    return e.select("vec_id", F.round(vectors.cosine("embedding", F.array(*[F.lit(float(x)) for x in first])), 9).alias("similarity"))
+    first = e.groupBy().agg(F.min_by("embedding", "vec_id").alias("first"))  # one row
+    both = e.select("vec_id", "embedding", first.scalar().alias("first"))
+    return both.select("vec_id", F.round(vectors.cosine("embedding", "first"), 9).alias("similarity"))
 
 
-_GREEDY = """WITH RECURSIVE e AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) rn, vec_id, embedding::DOUBLE[] v FROM embeddings),
-g AS (SELECT DISTINCT label, 0::BIGINT rn, []::DOUBLE[][] kept FROM e
+_GREEDY = """WITH RECURSIVE e AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY {1}vec_id) rn, vec_id, {2} AS past, embedding::DOUBLE[] v FROM embeddings),
+g AS (SELECT DISTINCT label, 0::BIGINT rn, NULL::BIGINT vec_id, true AS ok, []::DOUBLE[][] kept FROM e
       UNION ALL
-      SELECT g.label, n.rn, CASE WHEN len(list_filter(g.kept, lambda k: list_cosine_similarity(k, n.v) >= {0})) > 0 THEN g.kept ELSE list_append(g.kept, n.v) END
-      FROM g JOIN e n ON n.label = g.label AND n.rn = g.rn + 1)
-SELECT label, max(rn) AS n_total, max(len(kept)) AS n_kept FROM g GROUP BY 1"""
+      SELECT label, rn, vec_id, ok, CASE WHEN ok THEN list_append(kept, v) ELSE kept END
+      FROM (SELECT g.label, n.rn, n.vec_id, n.v, g.kept, n.past OR len(list_filter(g.kept, lambda k: list_cosine_similarity(k, n.v) >= {0})) = 0 AS ok
+            FROM g JOIN e n ON n.label = g.label AND n.rn = g.rn + 1))
+SELECT label, vec_id, ok AS kept FROM g WHERE rn > 0"""
 
 
-def _greedy(spark: SparkSession, d: str, threshold: float) -> DataFrame:
-    marked = neardup.greedy_near_duplicates(t(spark, d, "embeddings"), "label", "vec_id", "embedding", threshold)
-    return marked.groupBy("label").agg(F.count(F.lit(1)).alias("n_total"), F.count_if("kept").alias("n_kept"))
+def _greedy(spark: SparkSession, d: str, threshold: float, **how) -> DataFrame:
+    e = t(spark, d, "embeddings").withColumn("past", F.col("vec_id") % 3 == 0)
+    return neardup.greedy_near_duplicates(e, "label", "vec_id", "embedding", threshold, **how).select("label", "vec_id", "kept")
 
 
-@query(_GREEDY.format(0.3))
+@query(_GREEDY.format(0.3, "", "false"))
 def greedy_near_dup(spark: SparkSession, d: str) -> DataFrame:
     return _greedy(spark, d, 0.3)
 
 
-@query(_GREEDY.format(0.2))
+@query(_GREEDY.format(0.2, "", "false"))
 def greedy_near_dup_dense(spark: SparkSession, d: str) -> DataFrame:
     return _greedy(spark, d, 0.2)
 
 
+@query(_GREEDY.format(0.25, "vec_id % 3 <> 0, ", "vec_id % 3 = 0"))
+def greedy_near_dup_history(spark: SparkSession, d: str) -> DataFrame:
+    """A third of the rows are history: kept, and before all others of their key."""
+    return _greedy(spark, d, 0.25, history="past")
+
+
+@query(_GREEDY.format(0.3, "", "false"))
+def greedy_near_dup_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every key taken for a large one: by blocks, rounds and links."""
+    return _greedy(spark, d, 0.3, small=0, rounds=1)
+
+
 # Numbering and chunks
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 25 AS chunk_id, (row_number() OVER (ORDER BY doc_id) - 1) % 25 AS pos_in_chunk FROM documents")
 def chunk_assign(spark: SparkSession, d: str) -> DataFrame:
@@ -287,9 +301,9 @@ def payload_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Export
-@query("""SELECT sentence_id, row_id, domain, category, word, 'English' AS source_language, 'Telugu' AS target_language, english_sentence, telugu_sentence, telugu_romanized, translation_provider, translation_model, judge_provider, judge_model,
-scores.meaning_preservation AS meaning_preservation, scores.completeness AS completeness, scores.hallucination AS hallucination, scores.target_word_accuracy AS target_word_accuracy, scores.grammar AS grammar, scores.naturalness AS naturalness, scores.context_preservation AS context_preservation,
-overall_score, semantic_similarity, 'accepted' AS status FROM final_translations WHERE status = 'complete'""")
+@query("""SELECT sentence_id, row_id, domain, category, word, 'en-IN' AS source_language, 'te-IN' AS target_language, english_sentence, telugu_sentence, telugu_romanized, translation_provider, translation_model, judge_provider, judge_model,
+CASE WHEN NOT isnan(scores.meaning_preservation) THEN scores.meaning_preservation END AS meaning_preservation, CASE WHEN NOT isnan(scores.completeness) THEN scores.completeness END AS completeness, CASE WHEN NOT isnan(scores.hallucination) THEN scores.hallucination END AS hallucination, CASE WHEN NOT isnan(scores.target_word_accuracy) THEN scores.target_word_accuracy END AS target_word_accuracy, CASE WHEN NOT isnan(scores.grammar) THEN scores.grammar END AS grammar, CASE WHEN NOT isnan(scores.naturalness) THEN scores.naturalness END AS naturalness, CASE WHEN NOT isnan(scores.context_preservation) THEN scores.context_preservation END AS context_preservation,
+CASE WHEN NOT isnan(overall_score) THEN overall_score END AS overall_score, CASE WHEN NOT isnan(semantic_similarity) THEN semantic_similarity END AS semantic_similarity, 'accepted' AS status FROM final_translations WHERE status = 'complete'""")
 def export_flatten(spark: SparkSession, d: str) -> DataFrame:
     return final_translations(t(spark, d, "final_translations"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kolam.functions.scores import TRANSLATION_THRESHOLDS
 
+# The columns of the two exports, in order.
 FINAL_SENTENCES = ("row_id", "sentence_id", "domain", "category", "word", "sentence", "context", "overall_score")
 FINAL_TRANSLATIONS = (
     "sentence_id", "row_id", "domain", "category", "word", "source_language", "target_language", "english_sentence", "telugu_sentence",
@@ -15,16 +16,23 @@ FINAL_TRANSLATIONS = (
 )
 
 
-def final_sentences(words: DataFrame, accepted: DataFrame, order: str = "row_id") -> DataFrame:
-    """Every accepted sentence of every word, whatever the word's status, with the word's own columns. The order columns stay, for
-    whoever writes in order."""
-    keep = [c for c in accepted.columns if c not in ("domain", "category", "word")]
-    return words.select("row_id", "domain", "category", "word", *([order] if order != "row_id" else [])).join(accepted.select(*keep), "row_id")
+def final_sentences(words: DataFrame, accepted: DataFrame, order: str | None = None) -> DataFrame:
+    """Every accepted sentence of every word, whatever the word's status, with the word's own columns; in the words' input order
+    where order names a column of it, a word's sentences by the numbers of their ids."""
+    kept = accepted.select(*[c for c in FINAL_SENTENCES if c not in ("domain", "category", "word")])
+    both = words.select("row_id", "domain", "category", "word", *([order] if order else [])).join(kept, "row_id")
+    if order:
+        both = both.orderBy(order, F.length("sentence_id"), "sentence_id")
+    return both.select(*FINAL_SENTENCES)
 
 
-def final_translations(state: DataFrame, source_language: str = "English", target_language: str = "Telugu") -> DataFrame:
-    """The complete sentences with their seven scores flat, as accepted rows."""
-    flat = state.where(F.col("status") == "complete").withColumns({d: F.col(f"scores.{d}") for d in TRANSLATION_THRESHOLDS})
+def final_translations(state: DataFrame, source_language: str = "en-IN", target_language: str = "te-IN", order: str | None = None) -> DataFrame:
+    """The complete sentences with their seven scores flat, as accepted rows; a score or similarity that is no number is null. With
+    order, a column of state, they come in that order."""
+    number = lambda c: F.nanvl(c, F.lit(None).cast("double"))
+    flat = state.where(F.col("status") == "complete").withColumns({d: number(F.col(f"scores.{d}")) for d in TRANSLATION_THRESHOLDS})
+    flat = flat.withColumns({c: number(F.col(c)) for c in ("semantic_similarity", "overall_score")})
+    flat = flat.orderBy(order) if order else flat
     flat = flat.withColumns({"source_language": F.lit(source_language), "target_language": F.lit(target_language), "status": F.lit("accepted")})
     return flat.select(*FINAL_TRANSLATIONS)
 

@@ -1,6 +1,7 @@
 """Expressions, gates, keys, parsing, state and providers against independent expectations."""
 
 import json
+import math
 import random
 import unicodedata
 
@@ -120,9 +121,19 @@ def test_greedy_equals_the_sequential_rule(spark):
             mine = kept.setdefault(k, [])
             if k is None or v is None or (history and past) or not any(w is not None and cosine(v, w) >= threshold for _, w in mine):
                 mine.append((o, v))
-        got = neardup.greedy_near_duplicates(df, "k", "o", "v", threshold, history=history).collect()
-        assert {(r["k"], r["o"]) for r in got if r["kept"]} == {(k, o) for k, rows in kept.items() for o, _ in rows}
-        assert len(got) == len(data)
+        for how in ({}, {"small": 0}, {"small": 0, "rounds": 0}, {"small": 150, "rounds": 1}):
+            got = neardup.greedy_near_duplicates(df, "k", "o", "v", threshold, history=history, **how).collect()
+            assert {(r["k"], r["o"]) for r in got if r["kept"]} == {(k, o) for k, rows in kept.items() for o, _ in rows}
+            assert len(got) == len(data)
+
+
+@pytest.mark.parametrize("small", [10_000, 100])
+def test_greedy_ends_on_long_chains(spark, small):
+    """Each vector is near its neighbours only, so every second one goes: 5,000 links one after another."""
+    n, step = 5001, math.pi / 2 / 5001
+    df = spark.createDataFrame([(1, i, [math.cos(i * step), math.sin(i * step)]) for i in range(n)], "k int, o int, v array<double>")
+    got = neardup.greedy_near_duplicates(df, "k", "o", "v", math.cos(1.5 * step), small=small)
+    assert sorted(r["o"] for r in got.where("kept").collect()) == list(range(0, n, 2))
 
 
 def test_chunks_and_positions(spark):
