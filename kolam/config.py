@@ -64,6 +64,7 @@ class Config:
     translation: Translation = field(default_factory=Translation)
     retry: Retry = field(default_factory=Retry)
     prompts_dir: str = "prompts"
+    log_level: str = "INFO"
 
 
 def overlay(base, given: dict):

@@ -76,11 +76,11 @@ def global_positions(df: DataFrame, order, column: str = "pos", box: Scratch | N
     return sorted_.join(F.broadcast(offset), "_part").withColumn(column, F.col("_at") + F.col("_off")).drop("_part", "_at", "_off")
 
 
-def chunks(df: DataFrame, order, size: int, per_job: int | None = None) -> DataFrame:
+def chunks(df: DataFrame, order, size: int, per_job: int | None = None, box: Scratch | None = None) -> DataFrame:
     """df with pos, chunk_id, pos_in_chunk and, with per_job, job_id: consecutive chunks of size rows, jobs of per_job chunks."""
     if size < 1 or (per_job is not None and per_job < 1):
         raise ValueError("chunks and jobs hold at least one")
-    out = global_positions(df, order).withColumns({"chunk_id": F.expr(f"pos div {size}"), "pos_in_chunk": F.col("pos") % size})
+    out = global_positions(df, order, box=box).withColumns({"chunk_id": F.expr(f"pos div {size}"), "pos_in_chunk": F.col("pos") % size})
     return out.withColumn("job_id", F.expr(f"chunk_id div {per_job}")) if per_job else out
 
 

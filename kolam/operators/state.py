@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,3 +146,75 @@ class Snapshots:
             self._fs.delete(self._path(f"{self.path}/_current-{old}"), False)
             self._fs.delete(self._path(f"{self.path}/v={old}"), True)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/v={v}")
+
+
+class PartLog:
+    """A table that grows by parts, each a folder of its own: writing a part again replaces it, nothing else is rewritten.
+
+    A part counts once it was completely written; what a crash left of one is not read.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def parts(self) -> list[str]:
+        root = self._path(self.path)
+        names = [s.getPath().getName() for s in self._fs.listStatus(root)] if self._fs.exists(root) else []
+        return sorted(n for n in names if self.has(n))
+
+    def has(self, part: str) -> bool:
+        return self._fs.exists(self._path(f"{self.path}/{part}/_SUCCESS"))
+
+    def read(self, schema: T.StructType | str | None = None, parts: list[str] | None = None) -> DataFrame:
+        """All rows, or those of the parts, with the columns of the schema (by default the log's own); none where there is nothing."""
+        here = self.parts() if parts is None else [p for p in parts if self.has(p)]
+        schema = schema or self.schema
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if not here:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p}" for p in here])
+
+    def write(self, part: str, df: DataFrame) -> DataFrame:
+        kinds = [(f.name, f.dataType) for f in T.StructType.fromDDL(self.schema)]
+        whole = df.select(*[F.col(n).cast(k).alias(n) if n in df.columns else F.lit(None).cast(k).alias(n) for n, k in kinds])
+        whole.write.mode("overwrite").parquet(f"{self.path}/{part}")
+        return self.read(parts=[part])
+
+
+class Journal:
+    """A small record of what a run is doing, as one JSON text; a crash leaves the one before or the new one."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._jvm = spark._jvm
+
+    def _numbers(self) -> list[int]:
+        root = self._path(self.path)
+        names = [s.getPath().getName() for s in self._fs.listStatus(root)] if self._fs.exists(root) else []
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def read(self) -> dict:
+        n = self._numbers()
+        if not n:
+            return {}
+        stream = self._fs.open(self._path(f"{self.path}/{n[-1]}"))
+        try:
+            return json.loads(bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8"))
+        finally:
+            stream.close()
+
+    def write(self, what: dict) -> None:
+        old = self._numbers()
+        n = (old[-1] if old else 0) + 1
+        draft = self._path(f"{self.path}/_draft-{n}")
+        out = self._fs.create(draft, True)
+        out.write(bytearray(json.dumps(what).encode("utf-8")))
+        out.close()
+        if not self._fs.rename(draft, self._path(f"{self.path}/{n}")):
+            raise OSError(f"the journal {self.path} could not be written")
+        for x in old[:-1]:
+            self._fs.delete(self._path(f"{self.path}/{x}"), False)

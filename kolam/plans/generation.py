@@ -1,11 +1,12 @@
 """The generation pipeline: words -> sentences -> gates -> judged -> accepted, in rounds, and its replay from stored responses.
 
-Responses come from a provider as a table that is written once; everything behind it is a plan over tables. State is a snapshot per
-phase, so a run that is stopped goes on after the last phase that was completely written; of the phase it was stopped in, the responses are asked for again.
+Responses come from a provider as a table that is written once, job by job; everything behind it is a plan over tables. A run that is
+stopped goes on with the round it was in: what is stored or in flight isn't asked for again.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,52 +17,18 @@ from kolam.functions.scores import decide
 from kolam.functions.text import strip
 from kolam.operators import keyed, parsing, state, validation
 from kolam.operators.neardup import greedy_near_duplicates
-from kolam.providers.base import Pool, Provider
-from kolam.scratch import Scratch, local_table
-from kolam.sinks.export import rejected_rows
+from kolam.providers.asking import Asker
+from kolam.providers.base import Provider
+from kolam.scratch import Scratch
+from kolam.sinks.export import rejected_rows, write_jsonl
+from kolam.sources.jsonl import read_jsonl
 
 WORD_STATE = "row_id INT, domain STRING, category STRING, word STRING, status STRING, rounds_attempted INT, accepted_count INT, minted INT"
 ACCEPTED = "row_id INT, sentence_id STRING, domain STRING, category STRING, word STRING, sentence STRING, context STRING, overall_score DOUBLE, vector ARRAY<FLOAT>"
-RESPONSES = "round INT, kind STRING, chunk_id BIGINT, response STRING"
-REJECTED = "row_id INT, sentence_id STRING, sentence STRING, stage STRING, reason STRING, round INT"
-
-
-def responses_of(spark: SparkSession, payloads: DataFrame, provider: Provider, per_job: int, max_jobs: int, **pool) -> DataFrame:
-    """(chunk_id, response) of the payloads (chunk_id, payload) by batch jobs. Only the chunks of jobs in flight are on the driver."""
-    wanted = payloads.persist()
-    ids = [r["chunk_id"] for r in wanted.select("chunk_id").orderBy("chunk_id").toLocalIterator()]
-    got: list[tuple[int, str]] = []
-
-    def fetch(chunks: list[int]) -> dict[int, str]:
-        return {r["chunk_id"]: r["payload"] for r in wanted.where(F.col("chunk_id").isin(chunks)).collect()}
-
-    p = Pool(provider, fetch, max_jobs=max_jobs, chunk_budget=per_job * max_jobs, **pool)
-    for i in range(0, len(ids), per_job):
-        p.add(ids[i : i + per_job])
-    p.drain(lambda chunks, answers, _: got.extend(answers.items()))
-    wanted.unpersist()
-    return local_table(spark, got, "chunk_id bigint, response string")
-
-
-def responses_in_parallel(payloads: DataFrame, provider: Provider, workers: int) -> DataFrame:
-    """(chunk_id, response) by synchronous calls from the executors, workers at a time; a call that fails gives no row.
-
-    The result must be written before it is used: a plan over it would call again.
-    """
-
-    def call(batches):
-        import pandas as pd
-
-        for p in batches:
-            out = []
-            for chunk, payload in zip(p["chunk_id"], p["payload"]):
-                try:
-                    out.append((chunk, provider.complete(payload)))
-                except Exception:  # noqa: BLE001, S112
-                    continue
-            yield pd.DataFrame(out, columns=["chunk_id", "response"])
-
-    return payloads.select("chunk_id", "payload").repartition(workers).mapInPandas(call, "chunk_id bigint, response string")
+KEPT = "row_id INT, sentence_id STRING, pos INT, domain STRING, category STRING, word STRING, sentence STRING, context STRING, vector ARRAY<FLOAT>, chunk_id BIGINT, pos_in_chunk BIGINT"
+REJECTED = "row_id INT, sentence_id STRING, sentence STRING, stage STRING, reason STRING"
+RAW_LOG = "ord BIGINT, row_id INT, sentences ARRAY<STRUCT<sentence: STRING, context: STRING>>"
+log = logging.getLogger("kolam.generation")
 
 
 def generation_payloads(words: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -71,10 +38,9 @@ def generation_payloads(words: DataFrame, size: int) -> tuple[DataFrame, DataFra
     return chunked, parsing.request_payloads(chunked, names)
 
 
-def candidates(responses: DataFrame, asked: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(candidates, rejected) of a round's responses. Ids go on from the most a word ever minted, so none is given twice; domain,
+def candidates(parsed: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(candidates, rejected) of a round's parsed responses. Ids go on from the most a word ever minted, so none is given twice; domain,
     category and word are the asked ones, not the response's echo."""
-    parsed = parsing.parse_generation(responses, asked)
     bad = parsed.where(F.col("status") == "FAILED").select("row_id", F.lit("generation").alias("stage"), "reason")
     own = parsed.where(F.col("status") == "OK").select("row_id", "domain", "category", "word", F.posexplode("sentences").alias("pos", "s"))
     minted = words.select("row_id", F.coalesce("minted", F.lit(0)).alias("_base"))
@@ -96,9 +62,10 @@ def without_near_duplicates(found: DataFrame, accepted: DataFrame, embed, thresh
 
 
 def judged(found: DataFrame, evaluations: DataFrame, thresholds: dict) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) of the candidates by their last evaluation; one without an evaluation is neither."""
-    last = evaluations.drop("chunk_id").groupBy("sentence_id").agg(F.max(F.struct(*[F.col(d).alias(d) for d in thresholds])).alias("e"))
-    both = found.join(last, "sentence_id").withColumn("g", decide({d: F.col(f"e.{d}") for d in thresholds}, thresholds))
+    """(accepted, rejected) of the candidates, each by the last evaluation in the answer to the chunk it was in; one without an
+    evaluation is neither."""
+    last = evaluations.select("chunk_id", "sentence_id", F.struct(*[F.col(d).alias(d) for d in thresholds]).alias("e"))
+    both = found.join(last, ["chunk_id", "sentence_id"]).withColumn("g", decide({d: F.col(f"e.{d}") for d in thresholds}, thresholds))
     ok = both.where(F.col("g.decision") == "PASS").select("row_id", "sentence_id", "domain", "category", "word", "sentence", "context", F.round("g.overall", 4).alias("overall_score"), "vector")
     no = both.where(F.col("g.decision") == "FAIL").select("row_id", "sentence_id", "sentence", F.lit("judge").alias("stage"), F.col("g.reason").alias("reason"))
     return ok, no
@@ -106,7 +73,12 @@ def judged(found: DataFrame, evaluations: DataFrame, thresholds: dict) -> tuple[
 
 @dataclass
 class GenerationRun:
-    """A run over one folder. embed: function from a column name to a Column of vectors."""
+    """A run over one folder. embed: function from a column name to a Column of vectors. other: gives the provider of a name, for jobs
+    that another one took before the run was stopped.
+
+    Accepted sentences, rejected rows, responses and logs grow by parts, one a round or job; only the words' state is written anew. The
+    journal names the round in progress and the state it began from, so that a stopped round is gone on with and counted once.
+    """
 
     spark: SparkSession
     folder: str
@@ -115,72 +87,104 @@ class GenerationRun:
     embed: object
     config: Config = field(default_factory=Config)
     sync: bool = False
+    other: object = lambda name: None
 
     def __post_init__(self):
-        at = lambda name: state.Snapshots(self.spark, f"{self.folder}/{name}")
-        self.words, self.accepted, self.responses, self.rejected = at("words"), at("accepted"), at("responses"), at("rejected")
+        self.words = state.Snapshots(self.spark, f"{self.folder}/words")
+        self.accepted, self.rejected, self.kept = (state.PartLog(self.spark, f"{self.folder}/{n}", s) for n, s in (("accepted", ACCEPTED), ("rejected", REJECTED), ("kept", KEPT)))
+        self.asker = Asker(self.spark, self.folder, self.other)
 
     def run(self, words: DataFrame) -> DataFrame:
         """The accepted sentences after at most max_generation_rounds rounds over the words."""
         g = self.config.generation
         fresh = words.select("row_id", "domain", "category", "word").withColumns({"status": F.lit(state.PENDING), "rounds_attempted": F.lit(0), "accepted_count": F.lit(0), "minted": F.lit(0)})
-        self.words.write(keyed.upsert_if_absent(self.words.read(WORD_STATE), fresh, "row_id", "word"))
+        if not self._open_round():
+            self.words.write(keyed.upsert_if_absent(self.words.read(WORD_STATE), fresh, "row_id", "word"))
         for _ in range(g.max_generation_rounds):
-            work = state.words_needing_work(self.words.read(WORD_STATE), g.min_passing_sentences_per_word)
-            if work.isEmpty():
-                break
-            self.words.write(state.begin_round(self.words.read(WORD_STATE)))
-            self._round(state.words_needing_work(self.words.read(WORD_STATE), g.min_passing_sentences_per_word))
-        return self.accepted.read(ACCEPTED)
-
-    def _ask(self, payloads: DataFrame, provider: Provider, kind: str, round_: int, per_job: int, jobs: int) -> DataFrame:
-        """The responses of a phase; those already stored aren't asked for again."""
-        stored = self.responses.read(RESPONSES)
-        have = stored.where((F.col("round") == round_) & (F.col("kind") == kind))
-        missing = payloads.join(have.select("chunk_id"), "chunk_id", "left_anti")
-        new = responses_in_parallel(missing, provider, self.config.generation.sync_max_workers) if self.sync else responses_of(self.spark, missing, provider, per_job, jobs)
-        new = new.select(F.lit(round_).cast("int").alias("round"), F.lit(kind).alias("kind"), F.col("chunk_id").cast("bigint").alias("chunk_id"), "response")
-        all_ = self.responses.write(stored.unionByName(new))
-        return all_.where((F.col("round") == round_) & (F.col("kind") == kind)).select("chunk_id", "response")
-
-    def _round(self, work: DataFrame) -> None:
+            if not self._open_round():
+                if state.words_needing_work(self.words.read(WORD_STATE), g.min_passing_sentences_per_word).isEmpty():
+                    break
+                self.words.write(state.begin_round(self.words.read(WORD_STATE)))
+                self.asker.note(round=self._next_round(), words=self.words.current())
+            round_ = self._open_round()
+            log.info("round %d", round_)
+            self._round(state.words_needing_work(self.words.read(WORD_STATE), g.min_passing_sentences_per_word), round_)
+        return self.accepted.read()
+
+    def _next_round(self) -> int:
+        return 1 + max([0, *(int(n) for p in self.accepted.parts() if (n := p.removeprefix("round-")).isdigit())])
+
+    def _open_round(self) -> int | None:
+        """The round in progress; none if its end has been written."""
+        j = self.asker.journal.read()
+        if "round" in j and j.get("words") == self.words.current():
+            return j["round"]
+        return None
+
+    def _ask(self, payloads: DataFrame, provider: Provider, scope: str, per_job: int, jobs: int) -> DataFrame:
+        return self.asker.ask(scope, payloads, provider, per_job, jobs, self.config.generation.sync_max_workers if self.sync else None)
+
+    def _round(self, work: DataFrame, round_: int) -> None:
         g = self.config.generation
-        round_ = work.agg(F.max("rounds_attempted")).first()[0]
         chunked, payloads = generation_payloads(work, g.batch_size)
-        got = self._ask(payloads, self.generator, "generation", round_, g.generation_batch_job_max_chunks, g.generation_max_concurrent_jobs)
-        self._judge(*candidates(got, chunked, self.words.read(WORD_STATE)), round_)
+        got = self._ask(payloads, self.generator, f"generation-{round_}", g.generation_batch_job_max_chunks, g.generation_max_concurrent_jobs)
+        parsed = Scratch(self.spark, "parsed").save(parsing.parse_generation(got, chunked), "parsed")
+        raw = parsed.where(F.col("status") == "OK").select(F.lit(round_).alias("ord"), "row_id", "sentences")
+        write_jsonl(raw, f"{self.folder}/raw/round-{round_}")
+        self._judge(*candidates(parsed, self.words.read(WORD_STATE)), f"round-{round_}")
 
-    def _judge(self, found: DataFrame, rejected: DataFrame, round_: int) -> None:
+    def _judge(self, found: DataFrame, rejected: DataFrame, part: str) -> None:
         g = self.config.generation
         box = Scratch(self.spark, "round")
         found, rejected = box.save(found, "candidates"), box.save(rejected, "rejected")
-        accepted = self.accepted.read(ACCEPTED)
-        kept, near = without_near_duplicates(found, accepted, self.embed, g.near_duplicate_similarity_threshold)
-        kept, near = box.save(kept, "kept"), box.save(near, "near")
-        chunked = keyed.chunks(kept, ["row_id", "pos"], g.batch_size * g.sentences_requested_per_word)
+        before = self.accepted.read(parts=[p for p in self.accepted.parts() if p != part])
+        near = None
+        if not self.kept.has(part):  # decided once, as the judge's chunks are made of it
+            kept, near = without_near_duplicates(found, before, self.embed, g.near_duplicate_similarity_threshold)
+            kept, near = box.save(kept, "kept"), box.save(near, "near")
+            self.rejected.write(f"{part}-near", near)
+            chunked = keyed.chunks(kept, ["row_id", "pos"], g.batch_size * g.sentences_requested_per_word, box=box)
+            self.kept.write(part, chunked)
+        chunked = self.kept.read(parts=[part])
         names = {c: c for c in ("row_id", "sentence_id", "domain", "category", "word", "sentence", "context")}
-        got = self._ask(parsing.request_payloads(chunked, names), self.judge, "judge", round_, g.judge_batch_job_max_chunks, g.judge_max_concurrent_jobs)
-        ok, no = judged(kept, parsing.parse_judgements(got, list(g.thresholds)), g.thresholds)
-        ok = ok.withColumn("vector", F.col("vector").cast("array<float>"))
-        all_ = self.accepted.write(keyed.upsert_if_absent(accepted, ok, ["row_id", "sentence_id"], "sentence"))
-        marked = rejected_rows(rejected, near, no).withColumn("round", F.lit(round_).cast("int"))
-        self.rejected.write(self.rejected.read(REJECTED).unionByName(marked.select(*[c.split()[0] for c in REJECTED.split(", ")]), allowMissingColumns=True))
+        got = self._ask(parsing.request_payloads(chunked, names), self.judge, f"judge-{part}", g.judge_batch_job_max_chunks, g.judge_max_concurrent_jobs)
+        evaluations = box.save(parsing.parse_judgements(got, list(g.thresholds)), "evaluations")
+        write_jsonl(evaluations, f"{self.folder}/processed/{part}")
+        ok, no = judged(chunked, evaluations, g.thresholds)
+        self.accepted.write(part, ok)
+        self.rejected.write(part, rejected_rows(rejected, no))
         minted = found.groupBy("row_id").agg(F.max("pos").alias("_p"))
         words = self.words.read(WORD_STATE).join(minted, "row_id", "left").withColumn("minted", F.coalesce("minted", F.lit(0)) + F.coalesce(F.col("_p") + 1, F.lit(0))).drop("_p")
-        self.words.write(state.finish_words(words, all_, g.min_passing_sentences_per_word, g.max_generation_rounds).select(*[c.split()[0] for c in WORD_STATE.split(", ")]))
-
-    def replay(self, log: DataFrame) -> DataFrame:
+        done = state.finish_words(words, self.accepted.read(), g.min_passing_sentences_per_word, g.max_generation_rounds)
+        self.words.write(done.select(*[c.split()[0] for c in WORD_STATE.split(", ")]))  # ends the round: the journal names the state before
+        box.keep_only()
+
+    def complete_raw(self) -> None:
+        """Waits for the generation jobs in flight of a stopped round and stores their responses, without judging them."""
+        for scope in [k for k in self.asker.journal.read() if k.startswith("generation-")]:
+            self.asker.finish(scope, self.generator)
+            round_ = int(scope.removeprefix("generation-"))
+            parsed = parsing.payload_items("response", "records")
+            items = self.asker.stored(scope).select(F.explode(parsed).alias("item"))
+            sentence = lambda s: F.struct(F.try_variant_get(s, "$.sentence", "string").alias("sentence"), F.try_variant_get(s, "$.context", "string").alias("context"))
+            rows = items.select(F.lit(round_).alias("ord"), parsing.field("item", "$.row_id", "int").alias("row_id"), F.transform(parsing.field("item", "$.sentences", "array<variant>"), sentence).alias("sentences"))
+            write_jsonl(rows.where(F.col("row_id").isNotNull()), f"{self.folder}/raw/round-{round_}")
+
+    def replay(self, log_: DataFrame | None = None) -> DataFrame:
         """Judges the stored raw records of pending words again, without generating and without counting a round.
 
-        log: (ord, row_id, sentences array<struct<sentence, context>>), in log order. Nothing derived is written back to it.
+        log_: (ord, row_id, sentences array<struct<sentence, context>>), in log order; by default the run's own raw log, completed by the
+        jobs still in flight. Nothing derived is written back to it.
         """
+        if log_ is None:
+            self.complete_raw()
+            log_ = read_jsonl(self.spark, f"{self.folder}/raw/*", RAW_LOG)
         words = self.words.read(WORD_STATE)
         pending = words.where(F.col("status") == state.PENDING)
-        own = log.where(validation.has_sentences()).join(pending.select("row_id"), "row_id", "left_semi")
+        own = log_.where(validation.has_sentences()).join(pending.select("row_id"), "row_id", "left_semi")
         each = keyed.merge_candidates(own, "row_id", "ord", "sentences", [])
         base = words.select("row_id", "domain", "category", "word", F.coalesce("minted", F.lit(0)).alias("_base"))
         rows = each.join(base, "row_id").select("row_id", F.concat_ws("_", "row_id", (F.col("_base") + F.col("pos") + 1).cast("string")).alias("sentence_id"), F.col("pos").cast("int").alias("pos"), "domain", "category", "word", strip("item.sentence").alias("sentence"), F.coalesce("item.context", F.lit("")).alias("context"))
         good, bad = validation.split_by_reason(rows, validation.structural_reason("sentence", "word"), "structural_validation")
-        rounds = (words.agg(F.max("rounds_attempted")).first()[0] or 0)
-        self._judge(good, bad.select("row_id", "sentence_id", "sentence", "stage", "reason"), -1 - rounds)
-        return self.accepted.read(ACCEPTED)
+        self._judge(good, bad.select("row_id", "sentence_id", "sentence", "stage", "reason"), f"replay-{self.words.current() or 0}")
+        return self.accepted.read()

@@ -6,6 +6,7 @@ their payloads and responses are tables.
 
 from __future__ import annotations
 
+import logging
 import random
 import time
 from collections import deque
@@ -15,6 +16,9 @@ from enum import Enum
 from typing import Protocol
 
 
+log = logging.getLogger("kolam.providers")
+
+
 class Status(Enum):
     RUNNING = "running"
     SUCCEEDED = "succeeded"
@@ -38,9 +42,14 @@ STATUS_NAMES = {
     "JOB_STATE_CANCELLED": Status.CANCELLED, "JOB_STATE_EXPIRED": Status.EXPIRED, "completed": Status.SUCCEEDED, "failed": Status.FAILED,
     "cancelled": Status.CANCELLED, "expired": Status.EXPIRED,
 }
+# Their names for states that a job leaves again.
+RUNNING_NAMES = ("JOB_STATE_PENDING", "JOB_STATE_QUEUED", "JOB_STATE_RUNNING", "validating", "in_progress", "finalizing", "cancelling")
 
 
 def status_of(name: str) -> Status:
+    """The state a service's word stands for. A word not known is taken for a running job, and logged, as results may still come."""
+    if name not in STATUS_NAMES and name not in RUNNING_NAMES:
+        log.warning("unknown state of a job: %s", name)
     return STATUS_NAMES.get(name, Status.RUNNING)
 
 
@@ -99,7 +108,7 @@ def provider(name: str, *args, **kwargs) -> Provider:
 
 
 # Parts of messages of errors that no repetition mends.
-PERMANENT_MARKERS = ("invalid api key", "permission denied", "not found", "invalid argument")
+PERMANENT_MARKERS = ("prepayment credits are depleted", "api key not valid", "api_key_invalid", "permission_denied")
 
 
 def is_permanent(error: BaseException | str, markers: Iterable[str] = PERMANENT_MARKERS) -> bool:
@@ -119,7 +128,9 @@ def with_retry(call: Callable[[], object], attempts: int = 4, base: float = 2.0,
             return call()
         except Exception as error:  # noqa: BLE001
             if attempt == attempts or permanent(error):
+                log.error("given up after %d attempts: %s", attempt, error)
                 raise
+            log.warning("attempt %d failed: %s", attempt, error)
             sleep(backoff(attempt, base, most))
 
 
@@ -147,8 +158,8 @@ class Breaker:
 class Pool:
     """Jobs in flight, bounded by their number and, with chunk_budget, by the chunks of all of them; the first is always let in.
 
-    Queued jobs are lists of chunk ids. A failed submission goes back to the front of the queue. control() is what a snapshot needs
-    for taking the work up again after a crash, restore() takes it up.
+    Queued jobs are lists of chunk ids. A failed submission goes back to the front of the queue. control() is what is needed for taking
+    the work up again after a crash, restore() takes it up; journal, if given, gets it after every change of the jobs in flight.
     """
 
     provider: Provider
@@ -162,6 +173,11 @@ class Pool:
     clock: Callable[[], float] = time.monotonic
     queue: deque = field(default_factory=deque)
     flying: dict[str, list[int]] = field(default_factory=dict)
+    journal: Callable[[list], None] | None = None
+
+    def _note(self) -> None:
+        if self.journal:
+            self.journal(self.control())
 
     def add(self, chunks: list[int]) -> None:
         self.queue.append(list(chunks))
@@ -179,21 +195,26 @@ class Pool:
             try:
                 job = self.provider.submit(self.payloads(chunks))
             except Exception as error:  # noqa: BLE001
+                log.warning("a job of %d chunks was not taken: %s", len(chunks), error)
                 self.queue.appendleft(chunks)
                 self.breaker.failed(error)
                 return
             self.breaker.ok()
             self.flying[job] = chunks
+            self._note()
 
     def drain(self, done: Callable[[list[int], dict[int, str], Status], None]) -> None:
-        """Runs until queue and pool are empty; done gets each job's chunks and responses, none of an unusable job."""
+        """Runs until queue and pool are empty; done gets each job's chunks and responses, none of an unusable job. A job stays in the
+        journal until done has returned, so done may get a job twice after a crash."""
         began = self.clock()
         while self.queue or self.flying:
             self.fill()
             ended = [(job, s) for job in list(self.flying) if (s := self.provider.status(job)).terminal]
             for job, s in ended:
-                chunks = self.flying.pop(job)
-                done(chunks, self.provider.fetch(job) if s.usable else {}, s)
+                log.info("job %s: %s", job, s.value)
+                done(self.flying[job], self.provider.fetch(job) if s.usable else {}, s)
+                del self.flying[job]
+                self._note()
             if not ended and (self.flying or self.queue):
                 if self.clock() - began > self.timeout_seconds:
                     raise TimeoutError("jobs did not end in time")
@@ -208,3 +229,22 @@ class Pool:
                 self.queue.append(list(chunks))
             else:
                 self.flying[job] = list(chunks)
+
+
+def first_key(settings: dict[str, str], *names: str) -> str:
+    """The first of the settings that is there and not blank, as a judge's key and then the generator's."""
+    for n in names:
+        if (value := (settings.get(n) or "").strip()):
+            return value
+    raise KeyError(f"none of these is set: {', '.join(names)}")
+
+
+_clients: dict[tuple, object] = {}
+
+
+def cached_client(make: Callable[..., object], *args) -> object:
+    """make(*args), made once in each process, driver or Python worker."""
+    at = (make, args)
+    if at not in _clients:
+        _clients[at] = make(*args)
+    return _clients[at]

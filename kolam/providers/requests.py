@@ -38,16 +38,33 @@ def batch_lines(payloads: dict[int, str], prompt: str, model: str, style: Style
     return [json.dumps({"custom_id": f"chunk-{k}", "body": chat_request(p, prompt, model, style)}, ensure_ascii=False) for k, p in sorted(payloads.items())]
 
 
+def content_request(payload: str, prompt: str, style: Style = Style()) -> dict:
+    """The other common form: contents with a system instruction and a generation setting; JSON is asked for by its type."""
+    ask = payload if style.wrapper is None else f'{payload}\n\nAnswer with one JSON object {{"{style.wrapper}": [...]}} that holds one entry for each record.'
+    setting: dict = {"response_mime_type": "application/json", "max_output_tokens": style.max_output_tokens}
+    if style.temperature is not None:
+        setting["temperature"] = style.temperature
+    if style.thinking:
+        setting["thinking_config"] = {"thinking_level": style.thinking}
+    return {"contents": [{"role": "user", "parts": [{"text": ask}]}], "system_instruction": {"parts": [{"text": prompt}]}, "generation_config": setting}
+
+
+def inlined_requests(payloads: dict[int, str], prompt: str, style: Style = Style()) -> list[dict]:
+    """The requests of a job that takes them inline, each with its chunk's id as metadata."""
+    return [{"request": content_request(p, prompt, style), "metadata": {"chunk_id": f"chunk-{k}"}} for k, p in sorted(payloads.items())]
+
+
 def chunk_of(custom_id: str) -> int | None:
-    """The chunk an answer's id names; null for any other id."""
-    kind, _, number = custom_id.partition("-")
-    return int(number) if kind == "chunk" and number.isdigit() else None
+    """The chunk an answer's id names, "chunk-7" or "7"; null for any other id."""
+    kind, _, number = custom_id.rpartition("-")
+    return int(number) if kind in ("chunk", "") and number.isdigit() else None
 
 
 @dataclass
 class ClientProvider:
-    """A provider over a client's four functions: call(request) -> text, upload(lines) -> job, look(job) -> the service's word for its
-    state, download(job) -> (custom id, text or none) pairs."""
+    """A provider over a client's four functions: call(request) -> text, upload(lines or inlined requests) -> job, look(job) -> the
+    service's word for its state, download(job) -> (custom id, text or none) pairs. inline: the service takes requests with contents,
+    inlined in a job, instead of chat requests as lines of a file."""
 
     name: str
     model: str
@@ -58,18 +75,21 @@ class ClientProvider:
     download: Callable[[str], list[tuple[str, str | None]]]
     style: Style = field(default_factory=Style)
     attempts: int = 4
+    base: float = 2.0
+    most: float = 30.0
+    inline: bool = False
 
     def complete(self, payload: str) -> str:
         def once() -> str:
-            text = self.call(chat_request(payload, self.prompt, self.model, self.style))
+            text = self.call(content_request(payload, self.prompt, self.style) if self.inline else chat_request(payload, self.prompt, self.model, self.style))
             if not text:
                 raise RuntimeError("empty response")
             return text
 
-        return with_retry(once, self.attempts)
+        return with_retry(once, self.attempts, self.base, self.most)
 
     def submit(self, payloads: dict[int, str]) -> str:
-        return self.upload(batch_lines(payloads, self.prompt, self.model, self.style))
+        return self.upload(inlined_requests(payloads, self.prompt, self.style) if self.inline else batch_lines(payloads, self.prompt, self.model, self.style))
 
     def status(self, job: str) -> Status:
         return status_of(self.look(job))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kolam.functions.text import strip
-from kolam.operators.keyed import global_positions
 from kolam.scratch import local_table
+from kolam.sources.jsonl import in_file_order
 
 REQUIRED = ("domain", "category", "word")
 # Tokens that a spreadsheet reader takes for missing.
@@ -15,7 +15,8 @@ MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:
-    """(row_id, domain, category, word) of a .csv, .xlsx or .xls file; any other extension is a ValueError."""
+    """(row_id, domain, category, word, ord) of a .csv, .xlsx or .xls file, ord being the row's place in it; any other extension is a
+    ValueError."""
     kind = path.lower().rsplit(".", 1)[-1]
     if kind == "csv":
         raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
@@ -23,7 +24,7 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
         raw = _spreadsheet(spark, path)
     else:
         raise ValueError(f"the vocabulary must be a .csv, .xlsx or .xls file: {path}")
-    return clean_words(raw)
+    return clean_words(in_file_order(raw, "ord"))
 
 
 def _spreadsheet(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +32,7 @@ def _spreadsheet(spark: SparkSession, path: str) -> DataFrame:
         import openpyxl
     except ImportError as e:
         raise ImportError("reading spreadsheets needs openpyxl") from e
-    rows = list(openpyxl.load_workbook(path, read_only=True, data_only=True).active.iter_rows(values_only=True))
+    rows = list(openpyxl.load_workbook(path, read_only=True, data_only=True).active.iter_rows(values_only=True))  # a sheet has at most 1,048,576
     names = [str(c) for c in rows[0]] if rows else []
     return local_table(spark, [tuple(None if v is None else str(v) for v in r) for r in rows[1:]], ", ".join(f"`{n}` string" for n in names))
 
@@ -44,9 +45,9 @@ def clean_words(raw: DataFrame) -> DataFrame:
     if lacking:
         raise ValueError(f"the vocabulary lacks the columns {lacking}")
     if "row_id" not in named.columns:
-        named = global_positions(named.withColumn("_o", F.monotonically_increasing_id()), "_o").withColumn("row_id", F.col("pos") + 1)
+        named = (named if "ord" in named.columns else in_file_order(named)).withColumn("row_id", F.col("ord") + 1)
     value = lambda c: F.when(~F.col(c).isin(*MISSING_TOKENS), strip(c))
-    out = named.select(F.col("row_id").cast("int").alias("row_id"), F.coalesce(value("domain"), F.lit("nan")).alias("domain"), F.coalesce(value("category"), F.lit("nan")).alias("category"), value("word").alias("word"))
+    out = named.select(F.col("row_id").cast("int").alias("row_id"), F.coalesce(value("domain"), F.lit("nan")).alias("domain"), F.coalesce(value("category"), F.lit("nan")).alias("category"), value("word").alias("word"), *(["ord"] if "ord" in raw.columns else []))
     return out.where((F.coalesce("word", F.lit("")) != "") & (F.lower("word") != "nan"))
 
 
