@@ -66,7 +66,7 @@ def main(args: list[str], spark: SparkSession, providers: dict[str, Provider] |
     known = lambda name: next((p for p in (providers or {}).values() if p.name == name), None)
     embed = lambda which: (embedders or {}).get(which) or hashing_embedder()
     if a.phase == "generate":
-        words = read_words(spark, a.input)
+        words = read_words(spark, a.input, ordered=True)
         run = GenerationRun(spark, a.folder, of("generator"), of("judge"), embed("sentence"), config, sync=a.sync and not a.replay, other=known)
         if a.replay:
             accepted = run.replay(None if a.replay == "own" else read_jsonl(spark, a.replay, LOG))

@@ -14,9 +14,9 @@ REQUIRED = ("domain", "category", "word")
 MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_words(spark: SparkSession, path: str) -> DataFrame:
-    """(row_id, domain, category, word, ord) of a .csv, .xlsx or .xls file, ord being the row's place in it; any other extension is a
-    ValueError."""
+def read_words(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """(row_id, domain, category, word) of a .csv, .xlsx or .xls file, with ordered also ord, the row's place in it; any other
+    extension is a ValueError."""
     kind = path.lower().rsplit(".", 1)[-1]
     if kind == "csv":
         raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
@@ -24,7 +24,7 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
         raw = _spreadsheet(spark, path)
     else:
         raise ValueError(f"the vocabulary must be a .csv, .xlsx or .xls file: {path}")
-    return clean_words(in_file_order(raw, "ord"))
+    return clean_words(in_file_order(raw, "_ord") if ordered else raw)
 
 
 def _spreadsheet(spark: SparkSession, path: str) -> DataFrame:
@@ -45,9 +45,9 @@ def clean_words(raw: DataFrame) -> DataFrame:
     if lacking:
         raise ValueError(f"the vocabulary lacks the columns {lacking}")
     if "row_id" not in named.columns:
-        named = (named if "ord" in named.columns else in_file_order(named)).withColumn("row_id", F.col("ord") + 1)
+        named = (named if "_ord" in named.columns else in_file_order(named, "_ord")).withColumn("row_id", F.col("_ord") + 1)
     value = lambda c: F.when(~F.col(c).isin(*MISSING_TOKENS), strip(c))
-    out = named.select(F.col("row_id").cast("int").alias("row_id"), F.coalesce(value("domain"), F.lit("nan")).alias("domain"), F.coalesce(value("category"), F.lit("nan")).alias("category"), value("word").alias("word"), *(["ord"] if "ord" in raw.columns else []))
+    out = named.select(F.col("row_id").cast("int").alias("row_id"), F.coalesce(value("domain"), F.lit("nan")).alias("domain"), F.coalesce(value("category"), F.lit("nan")).alias("category"), value("word").alias("word"), *([F.col("_ord").alias("ord")] if "_ord" in raw.columns else []))
     return out.where((F.coalesce("word", F.lit("")) != "") & (F.lower("word") != "nan"))
 
 
