@@ -235,7 +235,7 @@ def test_retry_and_breaker():
     assert 0.8 * 2 <= waits[0] <= 1.2 * 2 and backoff(9, luck=lambda: 0.5) == 30.0
     with pytest.raises(RuntimeError):
         with_retry(lambda: (_ for _ in ()).throw(RuntimeError("PERMISSION_DENIED")), sleep=waits.append)
-    assert len(waits) == 2 and is_permanent("INVALID API KEY")
+    assert len(waits) == 2 and is_permanent("reason: API_KEY_INVALID")
     b = Breaker(2)
     b.failed(RuntimeError("x"))
     with pytest.raises(CircuitOpen):

@@ -201,7 +201,7 @@ def test_requests_with_contents():
     assert r["system_instruction"]["parts"][0]["text"] == "be good" and '"evaluations"' in r["contents"][0]["parts"][0]["text"]
     assert [x["metadata"]["chunk_id"] for x in inlined_requests({2: "b", 1: "a"}, "p")] == ["chunk-1", "chunk-2"]
     jobs = []
-    p = ClientProvider("n", "m", "p", call=lambda q: q["contents"][0]["parts"][0]["text"], upload=lambda x: jobs.append(x) or "j", look=lambda j: "JOB_STATE_SUCCEEDED", download=lambda j: [("chunk-1", "x"), ("2", "y"), ("other-3", "z"), ("4", None)], inline=True)
+    p = ClientProvider("n", "m", "p", call=lambda q: q["contents"][0]["parts"][0]["text"], upload=lambda x: jobs.append(x) or "j", look=lambda j: "JOB_STATE_SUCCEEDED", download=lambda j: [("chunk-1", "x"), ("chunk-2", "y"), ("other-3", "z"), ("4", None)], inline=True)
     assert p.complete("hello") == "hello" and p.submit({1: "a"}) == "j" and jobs[0][0]["metadata"] == {"chunk_id": "chunk-1"}
     assert p.fetch("j") == {1: "x", 2: "y"} and p.status("j") is Status.SUCCEEDED
 
