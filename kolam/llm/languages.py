@@ -18,9 +18,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kolam.scratch import local_table
+
 # Two-letter codes and the other names that labels use for them.
 LANGUAGES = {
     "en": ("eng", "english"), "te": ("tel", "telugu"), "hi": ("hin", "hindi"), "ta": ("tam", "tamil"), "es": ("spa", "spanish"),
@@ -159,6 +161,16 @@ class Automaton:
         return count - (state == 0)
 
 
+def _coded(low: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, code points, lengths) of sentences for Automaton.phrases: rows in that order, longest first."""
+    lengths = np.array([len(t) for t in low])
+    order = np.argsort(-lengths, kind="stable")
+    lengths = lengths[order]
+    codes = np.full((len(low), int(lengths[0])), 10, np.int32)
+    codes[np.arange(codes.shape[1]) < lengths[:, None]] = np.frombuffer("".join(low[i] for i in order).encode("utf-32-le", "surrogatepass"), np.int32)
+    return order, codes, lengths
+
+
 class Languages:
     """Automata by (language, script)."""
 
@@ -174,13 +186,8 @@ class Languages:
             idx = np.flatnonzero(scripts == script)
             if not rivals:
                 continue
-            low = [in_script(found[i], script).lower() for i in idx]
-            lengths = np.array([len(t) for t in low])
-            order = np.argsort(-lengths, kind="stable")
-            idx, lengths, low = idx[order], lengths[order], [low[i] for i in order]
-            codes = np.full((len(idx), int(lengths[0])), 10, np.int32)
-            whole = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.int32)
-            codes[np.arange(codes.shape[1]) < lengths[:, None]] = whole
+            order, codes, lengths = _coded([in_script(found[i], script).lower() for i in idx])
+            idx = idx[order]
             costs = np.array([m.phrases(codes, lengths) * (m.log_size if weighed else 1.0) / lengths for _, m in rivals])
             best = costs.argmin(axis=0)
             least = costs.min(axis=0)
@@ -220,11 +227,9 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
     rows = rows[rows["script"] != ""].reset_index(drop=True)
     kept = np.ones(len(rows), bool)
     half = (np.arange(len(rows)) % 2).astype(bool)
+    shared = documents.sparkSession.sparkContext.broadcast((rows, half))
     for _ in range(3):
-        came, sure = np.empty(len(rows), object), np.zeros(len(rows))
-        for side in (False, True):
-            other = rows[kept & (half != side)]
-            came[half == side], sure[half == side] = Languages(_sample(other, trial_chars)).judge(rows["s"][half == side].tolist(), weighed=False)
+        came, sure = _trial(documents.sparkSession, shared, kept, trial_chars)
         right = came == rows["l"].to_numpy()
         for _, idx in rows.groupby(["l", "script"]).groups.items():
             ok = right[idx]
@@ -232,6 +237,35 @@ def fit_languages(documents: DataFrame, text: str = "text", label: str = "lang",
     return Languages(_sample(rows[kept], sample_chars))
 
 
+def _trial(spark: SparkSession, shared, kept: np.ndarray, chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(language, confidence) of each sampled sentence by the automata of the other half's kept ones, phrases not weighed: a task for
+    each half and automaton, which gives its cost of every sentence in its script."""
+    rows, half = shared.value
+    b_kept = spark.sparkContext.broadcast(kept)
+    models = rows[["l", "script"]].assign(half=half)[kept].drop_duplicates()
+    tasks = local_table(spark, [(bool(~np.bool_(r["half"])), r["l"], r["script"]) for r in models.to_dict("records")], "side boolean, l string, script string")
+
+    def cost(batches):
+        rows, half = shared.value
+        for p in batches:
+            for side, lang, script in zip(p["side"], p["l"], p["script"]):
+                own = b_kept.value & (half != side) & (rows["l"].to_numpy() == lang) & (rows["script"].to_numpy() == script)
+                model = Automaton(_sample(rows[own], chars)[(lang, script)])
+                idx = np.flatnonzero((half == side) & (rows["script"].to_numpy() == script))
+                if len(idx):
+                    order, codes, lengths = _coded([in_script(rows["s"].iloc[i], script).lower() for i in idx])
+                    yield pd.DataFrame({"i": idx[order], "l": lang, "cost": model.phrases(codes, lengths) / lengths, "size": model.log_size})
+
+    got = tasks.repartition(max(1, len(models))).mapInPandas(cost, "i long, l string, cost double, size double").toPandas()  # sampled sentences x languages
+    got = got.sort_values(["i", "cost", "l"]).reset_index(drop=True)
+    came, sure = np.full(len(rows), "und", object), np.zeros(len(rows))
+    first = got.groupby("i").head(1).set_index("i")
+    second = got.groupby("i").nth(1).set_index("i")["cost"].reindex(first.index).fillna(first["size"])  # without a rival, the dearest there is
+    came[first.index] = first["l"]
+    sure[first.index] = np.clip(1 - first["cost"] / np.maximum(second, 1e-9), 0, 1)
+    return came, sure
+
+
 def _sample(rows: pd.DataFrame, chars: int) -> dict[tuple[str, str], str]:
     out = {}
     for key, own in rows.groupby(["l", "script"]):
