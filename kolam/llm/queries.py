@@ -210,7 +210,8 @@ def p7_repeats(spark: SparkSession, d: str) -> DataFrame:
     from kolam.llm.history import PivotHistory
 
     box = Scratch(spark, "p7")
-    rows = box.save(_units(spark, d), "units")
+    spread = _units(spark, d).repartition("batch_no", F.pmod(F.xxhash64("sentence_id"), F.lit(8)))
+    rows = box.save(spread, "units", by=["batch_no"])  # a unit's check reads its own rows only
     history = PivotHistory(spark, f"{box.path}/history", buckets=16)
     found = None
     for r in rows.where(F.col("batch_no").isNotNull()).groupBy("batch_no").agg(F.count_if("complete").alias("n")).orderBy("batch_no").collect():  # a row per unit
