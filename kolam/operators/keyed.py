@@ -46,6 +46,11 @@ def missing_from(asked: DataFrame, got: DataFrame, key) -> DataFrame:
     return asked.join(got.select(*_list(key)).distinct(), _list(key), "left_anti")
 
 
+def missing_keys(asked: DataFrame, got: DataFrame, key) -> DataFrame:
+    """The distinct keys asked for that have no answer, as a set difference: a null key is a key."""
+    return asked.select(*_list(key)).subtract(got.select(*_list(key)))
+
+
 def answered_or_failed(asked: DataFrame, answers: DataFrame, key, order, reason: str = "no answer for this record") -> DataFrame:
     """Each row asked for with its last answer; status OK, or FAILED with the reason. Answers nobody asked for are ignored."""
     key = _list(key)

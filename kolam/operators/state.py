@@ -25,9 +25,15 @@ def begin_round(state: DataFrame) -> DataFrame:
     return state.withColumn("rounds_attempted", F.when(F.col("status") == PENDING, F.col("rounds_attempted") + 1).otherwise(F.col("rounds_attempted")))
 
 
+def accepted_counts(accepted: DataFrame, least: int = 1) -> DataFrame:
+    """(row_id, n) of the words with at least so many accepted rows."""
+    per = accepted.groupBy("row_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.where(F.col("n") >= least) if least > 1 else per
+
+
 def finish_words(state: DataFrame, accepted: DataFrame, min_passing: int, max_rounds: int) -> DataFrame:
     """The word state with counts and statuses by the accepted sentences (row_id, ...); complete and exhausted words stay so."""
-    n = accepted.groupBy("row_id").agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    n = accepted_counts(accepted).select("row_id", F.col("n").cast("int").alias("_n"))
     out = state.join(n, "row_id", "left").withColumn("accepted_count", F.coalesce("_n", F.lit(0))).drop("_n")
     done = F.col("status").isin(COMPLETE, EXHAUSTED)
     return out.withColumn("status", F.when(done, F.col("status")).otherwise(word_status(F.col("accepted_count"), F.col("rounds_attempted"), min_passing, max_rounds)))

@@ -293,8 +293,7 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT row_id, count(*) AS n FROM (SELECT DISTINCT row_id, sentence_id FROM final_sentences) GROUP BY 1 HAVING count(*) >= 3")
 def accepted_per_word(spark: SparkSession, d: str) -> DataFrame:
-    per = t(spark, d, "final_sentences").select("row_id", "sentence_id").distinct().groupBy("row_id").agg(F.count(F.lit(1)).alias("n"))
-    return per.where(F.col("n") >= 3)
+    return state.accepted_counts(t(spark, d, "final_sentences").select("row_id", "sentence_id").distinct(), 3)
 
 
 @query(f"""WITH n AS (SELECT row_id, count(*) AS n FROM final_sentences WHERE overall_score >= 0.9 GROUP BY 1)
@@ -355,7 +354,7 @@ def upsert_if_absent(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT row_id FROM words EXCEPT SELECT row_id FROM word_state")
 def missing_except(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "words").select("row_id").subtract(t(spark, d, "word_state").select("row_id"))
+    return keyed.missing_keys(t(spark, d, "words"), t(spark, d, "word_state"), "row_id")
 
 
 # Payloads
