@@ -2,7 +2,8 @@
 
 Each level takes as seeds all vertices that are smaller than every neighbour, expands them hop by hop over hash-partitioned
 adjacency rows, and lets colliding seed labels form a smaller graph, on which the next level works. Adjacency is kept as rows, not
-as lists, so a vertex with a third of all edges is many rows of many tasks. A level leaves at most half of the labels that still
+as lists: a vertex with a third of all edges is merged map-side where labels are grouped, and where they are joined its rows are split
+by Spark's skew handling. A level leaves at most half of the labels that still
 touch, so there are about log2(vertices) of them at most, fewer in practice.
 """
 
