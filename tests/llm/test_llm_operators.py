@@ -24,6 +24,7 @@ from kolam.llm.ranking import first_places, rank_walk
 from kolam.llm.sampling import calibrated_gaps, pivotal, proportional_sample, target_report, whole_numbers
 from kolam.llm.tokens import token_count
 from kolam.llm.wordsets import hashed_words, word_set
+from kolam.scratch import Scratch
 
 
 def rows(df):
@@ -475,6 +476,20 @@ def test_history_of_long_texts(spark):
     assert got == {1, 5}
 
 
+def test_a_hot_key_is_not_compared_pair_by_pair(spark):
+    """Of the four million pairs of two units of one key hardly any meet, and what repeats is found."""
+    rng = random.Random(17)
+    texts = [" ".join([f"own{i}x{j}" for j in range(8)] + rng.sample([f"common{c}" for c in range(30)], 4)) for i in range(2000)]
+    again = {i: texts[i] + " more" for i in range(0, 2000, 100)}
+    later = [again.get(i, " ".join([f"new{i}x{j}" for j in range(8)] + t.split()[8:])) for i, t in enumerate(texts)]
+    data = [(i, 7, 0, t) for i, t in enumerate(texts)] + [(10_000 + i, 7, 1, t) for i, t in enumerate(later)]
+    df = spark.createDataFrame(data, "id int, key int, unit int, text string").withColumn("words", word_set("text"))
+    box = Scratch(spark, "hot")
+    got = {r["id"] for r in repeats_of_history(df.where("unit = 1"), history_table(df.where("unit = 0"), "key", "unit", F.lit(True)), "key", "unit", cell_size=500, box=box).collect()}
+    met = spark.read.parquet(f"{box.path}/*-first_words").groupBy("key", "band").agg((F.count("last") * F.count("since")).alias("n")).agg(F.sum("n")).first()[0]
+    assert got == {10_000 + i for i in again} and 20 <= met < 40_000
+
+
 # 8
 def packed(items, capacity, **how):
     got = pack(items, "id", "size", capacity, **how).collect()
