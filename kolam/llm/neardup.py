@@ -7,15 +7,18 @@ a signature seldom join texts that only share common words. Bands meet in a sort
 many of 64 parity bits can't reach the threshold and end in the join; the others are compared exactly, as sets of words.
 
 Weights and threshold don't agree, and bands meet by chance, so an exact route follows: two sets that reach the threshold share one of
-the first words of each, rarest first (prefix_rows); those buckets' pairs pass the same filter and comparison.
+the first words of each, rarest first (prefix_rows); those buckets' pairs pass the same filter and comparison. As it misses none, bands
+may get longer with the collection (band_shape), which keeps the pairs that meet in them by chance in proportion to it.
 
-Equal word sets are one node from the start. A band shared by more than `hot` nodes (thousands of different texts that resemble each
-other) isn't expanded into all its pairs: each node meets the band's first node, then only nodes of components other than the band's
+Equal word sets are one node from the start. A band shared by more than `hot` nodes, or a bucket of more than `crowd` in most of which
+each resembles many others (thousands of different texts that resemble each other), isn't expanded into all its pairs: each node meets the band's first node, then only nodes of components other than the band's
 largest meet the rest. That finds every group all its pairs would.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,10 +31,13 @@ from kolam.scratch import Scratch
 _M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
-#: Words fall into so many classes by hash; of each class's count the parity is kept, 64 of them in bits, the others in mark with the size.
-CLASSES = 104
-MOST_SIZE = (1 << 23) - 1
+#: Words fall into so many classes by hash; of each class's count the parity is kept, 64 of them in bits, the others in mark, below
+#: the flag of a row that only meets rows of smaller sets, and the size.
+CLASSES = 103
 LOW = (1 << (CLASSES - 64)) - 1
+LARGER = 1 << (CLASSES - 64)
+SIZE_AT = CLASSES - 64 + 1
+MOST_SIZE = (1 << 23) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -114,15 +120,17 @@ def _poisson(mean: float) -> np.ndarray:
     return _cdf[mean]
 
 
-def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted word hashes, weights, numbers of sets) of the words in more than common_from of all sets, counted over every set.
+def common_word_weights(nodes: DataFrame, common_from: float = 0.001, light: float = 0.03, rare: float = 1 / 30, most: int = 1_000_000, crowd: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted word hashes, weights, numbers of sets) of the words in more than common_from of all sets, or in more than crowd of
+    them where that is fewer, counted over every set.
 
-    A set has l words on average, so at most l / common_from words can be that common, however large the input; of more than `most`
+    A set has l words on average, so at most l / common_from words can be that common without crowd, however large the input; of more than `most`
     the commonest are taken, which bounds what is sent to all tasks and changes no result, as only the order of words and the bands'
     luck depend on it. The weight falls from 1 at a share of `rare` with the logarithm of the share, down to `light`. All other words weigh 1.
     """
     n = nodes.count()
-    counts = nodes.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common_from * n)
+    over = common_from * n if crowd is None else min(common_from * n, crowd)
+    counts = nodes.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > over)
     rows = counts.orderBy(F.desc("n"), "w").limit(most).toPandas().sort_values("w")
     weight = np.clip(np.log(np.maximum(n, 1) / np.maximum(rows["n"].to_numpy(float), 1)) / np.log(1 / rare), light, 1.0)
     return rows["w"].to_numpy(np.int64), weight, rows["n"].to_numpy(np.int64)
@@ -153,10 +161,56 @@ def _parities(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
         high = np.where(kind >= 64, one << (np.maximum(kind, np.uint64(64)) - np.uint64(64)), np.uint64(0))
         bits[full] = np.bitwise_xor.reduceat(low, starts[:-1][full])
         rest[full] = np.bitwise_xor.reduceat(high, starts[:-1][full])
-    mark = (np.minimum(size, MOST_SIZE).astype(np.uint64) << np.uint64(CLASSES - 64)) | rest
+    mark = (np.minimum(size, MOST_SIZE).astype(np.uint64) << np.uint64(SIZE_AT)) | rest
     return bits.view(np.int64), mark.view(np.int64)
 
 
+def _weights(tokens: np.ndarray, hashes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    if not len(hashes):
+        return np.ones(len(tokens))
+    at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+    return np.where(hashes[at] == tokens, weight[at], 1.0)
+
+
+def _band_keys(sig: np.ndarray, rows_per_band: int, bands: int, seed: int) -> np.ndarray:
+    """The key of each set's each band; bands are consecutive coordinates."""
+    sig = sig[:, : bands * rows_per_band].reshape(-1, bands, rows_per_band)
+    key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(seed << 20), sig.shape[:2]).copy()
+    with np.errstate(over="ignore"):
+        for i in range(rows_per_band):
+            key = _mix(key ^ (sig[:, :, i] * _M2))
+    return key
+
+
+def band_shape(some: DataFrame, n: int, common: tuple[np.ndarray, np.ndarray], rows_per_band: int, bands: int, partners: float = 10, most: int = 8, seed: int = 0) -> tuple[int, int]:
+    """(rows of a band, bands) for n sets, of which some are a random part: the coordinates of rows_per_band x bands, cut into longer
+    bands where a set would meet more than `partners` others in a band.
+
+    Sets that only share common words meet in a band by chance, at a rate that falls with each row of it; at one rate, pairs grow with
+    the square of n. The rate is measured on 8,000 sets. prefix_rows has the pairs that longer bands miss.
+    """
+    import pyarrow as pa
+
+    shared = some.sparkSession.sparkContext.broadcast(common)
+    k = rows_per_band * bands
+
+    def part(batches):
+        got, words = [np.zeros((0, k), np.uint64)], 0
+        for _, tokens, starts in _pieces(batches):
+            if words < 1_000_000:
+                got.append(dart_signatures(tokens, starts, _weights(tokens, *shared.value), k, seed))
+            words += len(tokens)
+        sig = np.concatenate(got)
+        for r in range(rows_per_band, max(rows_per_band, most) + 1):
+            met = np.unique(_band_keys(sig, r, b := max(1, k // r), seed), return_counts=True)[1].astype(float) if r <= k else np.zeros(0)
+            share = (met * (met - 1)).sum() / max(1, b * len(sig) * (len(sig) - 1))
+            yield pa.RecordBatch.from_pydict({"r": pa.array([r]), "share": pa.array([share])})
+
+    rates = some.select("id", "words").limit(8000).mapInArrow(part, "r long, share double").groupBy("r").agg(F.max("share")).orderBy("r").collect()
+    r = next((r for r, share in rates if share * n <= partners), max([rows_per_band, *(r for r, _ in rates if r <= k)]))
+    return r, max(1, k // r)
+
+
 def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_band: int, bands: int, seed: int = 0) -> DataFrame:
     """(band, id, bits, mark), one row for each node and band. nodes: (id long, words array<int>)."""
     shared = nodes.sparkSession.sparkContext.broadcast(common)
@@ -170,15 +224,7 @@ def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_
     def piece(ids, tokens, starts, hashes, weight):
         import pyarrow as pa
 
-        w = np.ones(len(tokens))
-        if len(hashes):
-            at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
-            w = np.where(hashes[at] == tokens, weight[at], 1.0)
-        with np.errstate(over="ignore"):
-            sig = dart_signatures(tokens, starts, w, k, seed).reshape(-1, bands, rows_per_band)
-            key = np.broadcast_to(np.arange(bands, dtype=np.uint64) + np.uint64(seed << 20), sig.shape[:2]).copy()
-            for i in range(rows_per_band):
-                key = _mix(key ^ (sig[:, :, i] * _M2))
+        key = _band_keys(dart_signatures(tokens, starts, _weights(tokens, hashes, weight), k, seed), rows_per_band, bands, seed)
         bits, mark = _parities(tokens, starts)
         return pa.RecordBatch.from_pydict({
             "id": ids, "bits": pa.array(bits), "mark": pa.array(mark),
@@ -190,16 +236,28 @@ def band_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], rows_per_
 
 
 def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], threshold: float, crowd: int = 1000, depth: int = 3, most: int = 1_000_000) -> DataFrame:
-    """(band, id, bits, mark): buckets of which every two sets that reach the threshold share at least one.
+    """prefix_parts in one table."""
+    return prefix_parts(nodes, common, threshold, crowd, depth, most)[0][0]
+
+
+def prefix_parts(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], threshold: float, crowd: int = 1000, depth: int = 3, most: int = 1_000_000, some: DataFrame | None = None, share: int = 1, at_once: int | None = None) -> tuple[list[DataFrame], int]:
+    """Tables (band, id, bits, mark) and about how many rows all have: buckets of which every two sets that reach the threshold share
+    at least one. With at_once there are as many tables, each of its own buckets, as keep a table near that many rows, up to 16, else one.
 
     common: (sorted hashes, numbers of sets) of the common words; the order is the rare words first, then these by number. A set of
     n words shares at least o = threshold * n with any such other, so the d-th word they share is among its first n - o + d. A bucket
     is a shared first word; those of more than crowd sets are parted by the second shared word too, then by the third. Sets that may
     share no further word (o < d) meet in a bucket of their own. An id may be of any type. Per depth, the keys of the `most` largest crowded buckets are sent to
-    all tasks; other crowded ones aren't parted further, and go the way of hot bands as they are.
+    all tasks; other crowded ones aren't parted further. Buckets are counted in some, which has one of share sets: which ones are
+    parted changes no result, as long as they are the same for all sets.
+
+    The smaller of two sets that reach the threshold shares even 2 t / (1 + t) of its words, so it has the d-th among fewer first ones.
+    Rows beyond those have LARGER in mark: they need only meet rows without it, of sets no larger than theirs.
     """
     import pyarrow as pa
 
+    some = nodes if some is None else some
+
     sc = nodes.sparkSession.sparkContext
     place_of = np.empty(len(common[0]), np.int64)
     place_of[np.lexsort(common)] = np.arange(1, len(common[0]) + 1)  # by number, then hash
@@ -212,7 +270,7 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
         return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
 
     def rows_of(tokens, starts, crowded, only_common=False):
-        """The (set, key) of the buckets that end before the last depth, and of those of the last."""
+        """The (set, key, whether of the larger one only) of the buckets that end before the last depth, and of those of the last."""
         hashes, places = shared.value
         size = np.diff(starts)
         owner = np.repeat(np.arange(len(size)), size)
@@ -223,24 +281,27 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
         order = np.argsort((owner << 21) | often, kind="stable")  # a set's words come sorted by hash
         word = tokens[order].view(np.uint64)
         least = np.maximum(np.ceil(threshold * size - 1e-6), 1).astype(np.int64)
+        smaller = np.where(size < MOST_SIZE, size - np.maximum(np.ceil(2 * threshold / (1 + threshold) * size - 1e-6), 1), MOST_SIZE * 1e3)
         place = np.arange(len(word)) - starts[owner]
         use = place <= (size - least)[owner]
         if only_common:
             use &= often[order] > 0
         who, place, key = owner[use], place[use], _mix(word[use])
+        larger = place > smaller[who]
         done = []
         for d, keys in enumerate(crowded, 1):
             full = within(keys, key)
-            done.append((who[~full], key[~full]))
-            who, place, key = who[full], place[full], key[full]
+            done.append((who[~full], key[~full], larger[~full]))
+            who, place, key, larger = who[full], place[full], key[full], larger[full]
             stop = least[who] <= d
-            done.append((who[stop], _mix(~key[stop])))
+            done.append((who[stop], _mix(~key[stop]), larger[stop]))
             more = np.maximum(np.minimum(size[who] - 1, size[who] - least[who] + d) - place, 0)
             i = np.repeat(np.arange(len(who)), more)
             place = place[i] + 1 + np.arange(len(i)) - np.repeat(np.cumsum(more) - more, more)
-            who, key = who[i], key[i]
+            who, key, larger = who[i], key[i], larger[i]
+            larger = larger | (place > smaller[who] + d)
             key = _mix((key * _M2) ^ word[starts[who] + place])
-        return done, (who, key)
+        return done, (who, key, larger)
 
     def crowds(crowded):
         known = sc.broadcast(crowded)
@@ -251,7 +312,7 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
                     key, n = np.unique(rows_of(tokens, starts, known.value, all_known)[1][1], return_counts=True)
                 yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
-        full = nodes.select("id", "words").mapInArrow(part, "band long, n long").groupBy("band").agg(F.sum("n").alias("n")).where(F.col("n") > crowd)
+        full = some.select("id", "words").mapInArrow(part, "band long, n long").groupBy("band").agg(F.sum("n").alias("n")).where(F.col("n") > crowd / share)
         return np.sort(full.orderBy(F.desc("n"), "band").limit(most).select("band").toPandas()["band"].to_numpy(np.int64).view(np.uint64))
 
     crowded = []
@@ -259,15 +320,32 @@ def prefix_rows(nodes: DataFrame, common: tuple[np.ndarray, np.ndarray], thresho
         crowded.append(keys)
     known = sc.broadcast(crowded)
 
-    def part(batches):
+    def made(batches):
         for ids, tokens, starts in _pieces(batches):
             with np.errstate(over="ignore"):
                 done, last = rows_of(tokens, starts, known.value)
-            who, key = (np.concatenate(x) for x in zip(*done, last))
-            bits, mark = _parities(tokens, starts)
-            yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "id": ids.take(pa.array(who)), "bits": pa.array(bits[who]), "mark": pa.array(mark[who])})
+            yield ids, tokens, starts, *(np.concatenate(x) for x in zip(*done, last))
+
+    def count(batches):
+        yield pa.RecordBatch.from_pydict({"n": pa.array([sum(len(x[3]) for x in made(batches))], pa.int64())})
+
+    def part(no, parts):
+        def rows(batches):
+            for ids, tokens, starts, who, key, larger in made(batches):
+                if parts > 1:
+                    here = key % np.uint64(parts) == no
+                    who, key, larger = who[here], key[here], larger[here]
+                bits, mark = _parities(tokens, starts)
+                mark = mark[who] | np.where(larger, np.int64(LARGER), np.int64(0))
+                yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "id": ids.take(pa.array(who)), "bits": pa.array(bits[who]), "mark": pa.array(mark)})
+
+        return nodes.select("id", "words").mapInArrow(rows, f"band long, id {nodes.schema['id'].dataType.simpleString()}, bits long, mark long")
 
-    return nodes.select("id", "words").mapInArrow(part, f"band long, id {nodes.schema['id'].dataType.simpleString()}, bits long, mark long")
+    if at_once is None:
+        return [part(0, 1)], 0
+    n = 16 * share * (some.where(F.pmod(F.shiftright(F.xxhash64("words"), 32), F.lit(16)) == 0).select("id", "words").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0)
+    parts = min(16, max(1, -(-n // max(1, at_once))))  # each part goes through all sets again
+    return [part(no, parts) for no in range(parts)], n
 
 
 def _passes(bits_x, bits_y, most_x, most_y, mark_x, mark_y) -> np.ndarray:
@@ -289,12 +367,13 @@ def _passes_between(bits_x, bits_y, most_x, most_y, mark_x, mark_y) -> tuple[np.
 
 def _most(mark: np.ndarray, threshold: float) -> np.ndarray:
     """Half of what two sets may differ in, as each one's size has it; without limit where the size isn't known exactly."""
-    size = mark >> (CLASSES - 64)
+    size = mark >> SIZE_AT
     return np.where(size >= MOST_SIZE, np.inf, size * ((1 - threshold) / (1 + threshold)) + 1e-3).astype(np.float32)
 
 
-def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None = None) -> DataFrame:
-    """(a, b) of the pairs of a band that may reach the threshold, a < b, and, with null a and b, the rows of hot bands.
+def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None = None, crowd: int | None = None) -> DataFrame:
+    """(a, b) of the pairs of a band that may reach the threshold, a < b, and, with null a and b, the rows of hot bands: those of more
+    than hot rows, and of more than crowd if these have more than crowd / 10 possible partners each, by a trial of 64.
 
     One shuffle by band, into so many tasks; a task then passes through its sorted rows once and holds no more than a batch and hot rows.
     """
@@ -323,13 +402,14 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
                     yield id_[ok], id_[ok + d]
             begin = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
             for first in begin[n[begin] > 48]:
-                end = first + n[first]
-                for r in range(first, end, step := max(1, 200_000 // n[first])):
-                    x, y = slice(r, min(r + step, end)), slice(r, end)
+                at = first + np.argsort(mark[first : first + n[first]] >> SIZE_AT, kind="stable")  # the smaller of two comes first
+                low = np.flatnonzero(mark[at] & LARGER == 0)
+                for r in range(0, len(low), step := max(1, 200_000 // len(at))):
+                    x, y = at[low[r : r + step]], at[low[r] :]
                     i, j = _passes_between(bits[x], bits[y], most[x], most[y], mark[x], mark[y])
-                    ok = i < j
+                    ok = low[r + i] < low[r] + j
                     if ok.any():
-                        yield id_[r + i[ok]], id_[r + j[ok]]
+                        yield id_[x[i[ok]]], id_[y[j[ok]]]
 
         def batch(a, b, cols=None):
             n = len(a) if cols is None else len(cols[0])
@@ -337,6 +417,13 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
             got = [none] * 4 if cols is None else [pa.array(c) for c in cols]
             return pa.RecordBatch.from_arrays([pa.array(a) if cols is None else none, pa.array(b) if cols is None else none, *got], names=["a", "b", *names])
 
+        def given(cols):
+            n = run_lengths(cols[0])
+            much = (n > hot) | alike(cols, n)
+            yield from (batch(np.minimum(*p), np.maximum(*p)) for p in settled([c[~much & (n > 1)] for c in cols], pairs))
+            if much.any():
+                yield batch(None, None, [c[much] for c in cols])
+
         held, hot_band = [np.zeros(0, np.int64)] * 4, None
         for b in batches:
             cols = [np.concatenate([h, b.column(n).to_numpy(zero_copy_only=False)]) for h, n in zip(held, names)]
@@ -353,15 +440,13 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
             if last < at_once and len(cols[0]) - last <= hot and hot_band is None:  # wait for more rows
                 held = cols
                 continue
-            yield from (batch(np.minimum(*p), np.maximum(*p)) for p in settled([c[: max(0, last)] for c in cols], pairs))
-            yield from (batch(None, None, p) for p in hot_of([c[: max(0, last)] for c in cols]))
+            yield from given([c[: max(0, last)] for c in cols])
             held = [c[max(0, last) :] for c in cols]
             if len(held[0]) > hot:
                 hot_band = held[0][0]
                 yield batch(None, None, held)
                 held = [h[:0] for h in held]
-        yield from (batch(np.minimum(*p), np.maximum(*p)) for p in settled(held, pairs))
-        yield from (batch(None, None, p) for p in hot_of(held))  # what was held back may have whole hot bands
+        yield from given(held)  # what was held back may have whole hot bands
 
     def run_lengths(band):
         """For each row of a sorted column, how many rows have its value."""
@@ -369,26 +454,29 @@ def band_pairs(rows: DataFrame, threshold: float, hot: int, tasks: int | None =
         n = np.diff(np.concatenate([starts, [len(band)]]))
         return np.repeat(n, n)
 
+    def alike(cols, n):
+        """Whether a row is of a band of more than crowd rows, up to hot, most of which resemble many others."""
+        out = np.zeros(len(n), bool)
+        if crowd is not None:
+            band, _, bits, mark = cols
+            bits, most = bits.view(np.uint64), _most(mark, threshold)
+            for r in np.flatnonzero((n > crowd) & (n <= hot) & np.concatenate([[True], band[1:] != band[:-1]])[: len(n)]):
+                y = slice(r, r + n[r])
+                x = np.unique(np.linspace(r, r + n[r] - 1, 64).astype(np.int64))
+                out[y] = len(_passes_between(bits[x], bits[y], most[x], most[y], mark[x], mark[y])[0]) > len(x) * (1 + crowd / 10)
+        return out
+
     def settled(cols, pairs):
-        """Pairs of the bands that aren't hot, some thousands at once."""
-        if len(cols[0]):
-            n = run_lengths(cols[0])
-            few = (n > 1) & (n <= hot)
-            got, waiting = [], 0
-            for p in pairs([c[few] for c in cols]):
-                got.append(p)
-                waiting += len(p[0])
-                if waiting >= 20_000:
-                    yield tuple(map(np.concatenate, zip(*got)))
-                    got, waiting = [], 0
-            if got:
+        """Pairs of bands that aren't hot, some thousands at once."""
+        got, waiting = [], 0
+        for p in pairs(cols):
+            got.append(p)
+            waiting += len(p[0])
+            if waiting >= 20_000:
                 yield tuple(map(np.concatenate, zip(*got)))
-
-    def hot_of(cols):
-        if len(cols[0]) > hot:
-            n = run_lengths(cols[0])
-            if (n > hot).any():
-                yield [c[n > hot] for c in cols]
+                got, waiting = [], 0
+        if got:
+            yield tuple(map(np.concatenate, zip(*got)))
 
     parted = rows.repartition("band") if tasks is None else rows.repartition(tasks, "band")
     return parted.sortWithinPartitions("band").mapInArrow(part, "a long, b long, band long, id long, bits long, mark long")
@@ -401,6 +489,8 @@ def near_duplicate_groups(texts: DataFrame, threshold: float = 0.6, rows_per_ban
     texts: needs a column words (word_set); rows with null words take no part and give no row, repeated rows stay; a column named group is replaced. A group's number
     is the least of its sets' ids, so equal inputs give equal numbers. No texts give no rows. Bands find most links, and those of
     thousands of texts that resemble each other; prefix_rows has the pairs they miss, so that no pair at the threshold stays apart.
+    The rows_per_band x bands coordinates are cut into longer bands where the collection is so large that chance would fill them
+    (band_shape).
     The shuffles by band have the session's number of partitions, or a task for each rows_per_task rows where that is more, so that
     no task's share grows with the input.
     """
@@ -425,35 +515,40 @@ def _verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 
 def _may_reach(x: str, y: str, threshold: float):
     odd = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))) + F.bit_count(F.col(f"{x}.mark").bitwiseXOR(F.col(f"{y}.mark")).bitwiseAND(F.lit(LOW)))
-    size = lambda t: F.shiftright(f"{t}.mark", CLASSES - 64)
+    size = lambda t: F.shiftright(f"{t}.mark", SIZE_AT)
     return (odd <= most_difference(size(x), size(y), threshold)) | (F.greatest(size(x), size(y)) >= MOST_SIZE)
 
 
 def _links(nodes: DataFrame, threshold: float, rows_per_band: int, bands: int, hot: int, box: Scratch, crowd: int, rows_per_task: int) -> DataFrame:
-    hashes, weights, numbers = common_word_weights(nodes)
-    size = F.size("words")
-    first = nodes.agg(F.count(F.lit(1)), F.sum(size - F.ceil(threshold * size - 1e-6) + 1)).first()
+    hashes, weights, numbers = common_word_weights(nodes, crowd=crowd)
+    n, words = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+    share = max(1, min(-(-n // 200_000), crowd // 16))
+    some = nodes if share == 1 else box.save(nodes.where(F.pmod(F.xxhash64("words"), F.lit(share)) == 0), "some")
     least = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = lambda n: max(least, -(-int(n or 0) // rows_per_task))
-    links = _links_of(band_rows(nodes, (hashes, weights), rows_per_band, bands), None, nodes, threshold, hot, box, tasks(first[0] * bands))
-    return _links_of(prefix_rows(nodes, (hashes, numbers), threshold, crowd), links, nodes, threshold, crowd, box, tasks(first[1]))
-
-
-def _links_of(rows: DataFrame, known: DataFrame | None, nodes: DataFrame, threshold: float, hot: int, box: Scratch, tasks: int) -> DataFrame:
-    """The links among the sets of each band, and the known ones; of bands of more than hot sets as many as join the same sets."""
-    found = box.save(band_pairs(rows, threshold, hot, tasks), "candidates")
+    tasks = lambda n: max(least, -(-n // rows_per_task))
+    rows_per_band, bands = band_shape(some, n, (hashes, weights), rows_per_band, bands)
+    rows = band_rows(nodes, (hashes, weights), rows_per_band, bands)
+    links = _links_of([box.save(band_pairs(rows, threshold, hot, tasks(n * bands)), "candidates")], None, nodes, threshold, box)
+    parts, made = prefix_parts(nodes, (hashes, numbers), threshold, crowd, some=some, share=share, at_once=words)  # one after another, so that a shuffle has about a row a word
+    found = [box.save(band_pairs(rows, threshold, max(hot, crowd), tasks(-(-made // len(parts))), crowd), "candidates") for rows in parts]
+    return _links_of(found, links, nodes, threshold, box)
+
+
+def _links_of(tables: list[DataFrame], known: DataFrame | None, nodes: DataFrame, threshold: float, box: Scratch) -> DataFrame:
+    """The links among the sets of each band, by the tables of band_pairs, which are dropped, and the known ones; of hot bands as many as join the same sets."""
+    found = reduce(DataFrame.unionByName, tables)
     pairs = found.where(F.col("a").isNotNull()).select("a", "b")
     if known is not None:
-        pairs = pairs.join(known, ["a", "b"], "left_anti")
+        pairs = pairs.distinct().join(known, ["a", "b"], "left_anti")
     links = box.save(_verified(pairs, nodes, threshold), "pairs")
     if known is not None:
         links = links.unionByName(known)
     many = found.where(F.col("id").isNotNull()).select("id", "band", "bits", "mark")
     if many.isEmpty():
-        box.drop(found)
+        box.drop(*tables)
         return links
     links = box.save(links.unionByName(_hot_links(many, nodes, links, threshold, box)).distinct(), "links")
-    box.drop(found)
+    box.drop(*tables)
     return links
 
 

@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from kolam.llm import neardup
 from kolam.llm.components import connected_components, split_whole_components
 from kolam.llm.cutoffs import keep_fraction_cutoffs
 from kolam.llm.history import PivotHistory, history_table, repeats_of_history
@@ -173,6 +174,69 @@ def test_groups_do_not_rest_on_bands(spark, crowd):
     assert groups_by_number(df, rows_per_band=20, bands=1, crowd=crowd) == brute_groups(texts, 0.6)
 
 
+def common_and_own_words(n, seed=8):
+    """Sets of ten of 24 common words and two of their own each; each 50th differs from the one before by a word."""
+    rng = np.random.default_rng(seed)
+    sets = [sorted([*rng.choice(24, 10, replace=False).tolist(), 1000 + 2 * i, 1001 + 2 * i]) for i in range(n)]
+    for i in range(49, n, 50):
+        sets[i] = sorted([*sets[i - 1][:-1], -5 - i])
+    return sets
+
+
+def test_pairs_that_meet_in_bands_grow_with_the_collection(spark, monkeypatch):
+    real, met = neardup.band_pairs, []
+
+    def counted(rows, *how):
+        met.append(sum(r["n"] * (r["n"] - 1) // 2 for r in rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect()))
+        return real(rows, *how)
+
+    monkeypatch.setattr(neardup, "band_pairs", counted)
+    per_set = []
+    for n in (1000, 8000):
+        met.clear()
+        df = spark.createDataFrame(list(enumerate(common_and_own_words(n))), "i int, words array<int>")
+        got = near_duplicate_groups(df).select("i", "group").collect()
+        group = {r["i"]: r["group"] for r in got}
+        assert all(group[i] == group[i - 1] for i in range(49, n, 50))
+        per_set.append(met[0] / n)
+    assert per_set[1] < 3 * per_set[0]  # eight times the sets
+
+
+@pytest.mark.parametrize("crowd, share, at_once", [(1000, 1, None), (5, 1, None), (5, 1, 3000), (5, 4, 300)])
+def test_smaller_set_of_each_alike_pair_is_met(spark, crowd, share, at_once):
+    rng = random.Random(9)
+    sets = sorted({tuple(sorted(rng.sample(range(30), rng.randint(1, 14)))) for _ in range(400)})
+    alike = {(i, j) for j in range(len(sets)) for i in range(j) if len(set(sets[i]) & set(sets[j])) >= 0.6 * len(set(sets[i]) | set(sets[j])) - 1e-12}
+    nodes = spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "id long, words array<int>")
+    words, numbers = np.unique(np.concatenate([np.array(s) for s in sets]), return_counts=True)
+    some = nodes.where(F.col("id") % share == 0)
+    parts, _ = neardup.prefix_parts(nodes, (words, numbers), 0.6, crowd, some=some, share=share, at_once=at_once)
+    assert len(parts) > 1 if at_once else len(parts) == 1
+    met, skipped = set(), 0
+    for part in parts:
+        by = collections.defaultdict(list)
+        for r in part.collect():
+            by[r["band"]].append((r["mark"] >> neardup.SIZE_AT, r["mark"] & neardup.LARGER, r["id"]))
+        for rows_ in by.values():
+            for x, y in itertools.combinations(sorted(rows_), 2):
+                if x[1] == 0:
+                    met.add((min(x[2], y[2]), max(x[2], y[2])))
+                else:
+                    skipped += 1
+    assert alike and alike <= met and skipped
+    given = {(r["a"], r["b"]) for part in parts for r in band_pairs(part, 0.6, 20_000).collect()}
+    assert alike <= given
+
+
+def test_crowded_bands_are_hot_if_most_of_their_rows_are_alike(spark, one_task_of_small_batches):
+    rng = random.Random(10)
+    few = [(7, i, rng.getrandbits(63), 12 << neardup.SIZE_AT) for i in range(300)]  # of 64 parities half differ
+    many = [(9, i, 5, 12 << neardup.SIZE_AT) for i in range(300, 600)]
+    got = band_pairs(spark.createDataFrame(few + many, "band long, id long, bits long, mark long"), 0.6, 1000, None, 100).collect()
+    assert sorted(r["id"] for r in got if r["id"] is not None) == list(range(300, 600))
+    assert len([r for r in got if r["a"] is not None]) < 10
+
+
 def test_groups_of_nothing(spark):
     empty = spark.createDataFrame([], "i int, words array<int>")
     assert rows(near_duplicate_groups(empty)) == []
